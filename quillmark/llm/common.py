@@ -54,3 +54,14 @@ def ascii_lower(c: Column) -> Column:
 def row_key(*cols: str) -> Column:
     """Tells rows apart that share an id; equal rows have equal keys."""
     return F.xxhash64(*cols)
+
+
+def salted_lookup(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str], salts: int = 32) -> DataFrame:
+    """left joined with right, whose keys are unique, where a key may hold any share of left.
+
+    The rows of a key are dealt to `salts` parts by the hash of the columns `spread`, and right
+    is repeated for each part, so right should hold only what left can't do without.
+    """
+    parts = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    dealt = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    return dealt.join(parts, [*keys, "_salt"], "left").drop("_salt")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import mixing, packing, toxicity, warc
+from quillmark.llm import mixing, packing, simhash, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return got.select("doc_id", simhash.hex_digits("fp0").alias("fingerprint"), "component_id")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.trained(docs, _table(spark, sf_dir, "labels").select("doc_id", "toxic"))
@@ -38,6 +43,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_simhash": op2_simhash,
     "op4_toxicity": op4_toxicity,
     "op6_packing": op6_packing,
     "op10_mixing": op10_mixing,
