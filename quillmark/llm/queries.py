@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import mixing, packing, simhash, toxicity, warc
+from quillmark.llm import licences, mixing, packing, simhash, toxicity, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,12 +30,20 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, model).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scanned(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return packing.packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(_table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("words")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = mixing.with_copies(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return got.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -45,7 +53,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_simhash": op2_simhash,
     "op4_toxicity": op4_toxicity,
+    "op5_licences": op5_licences,
     "op6_packing": op6_packing,
+    "op8_urls": op8_urls,
     "op10_mixing": op10_mixing,
 }
 
