@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import licences, mixing, packing, simhash, toxicity, urls, warc
+from quillmark.llm import edits, licences, mixing, packing, simhash, toxicity, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op7_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edits.with_edits(_table(spark, sf_dir, "documents"))
+
+
 def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(_table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("words")
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_licences": op5_licences,
     "op6_packing": op6_packing,
+    "op7_edits": op7_edits,
     "op8_urls": op8_urls,
     "op10_mixing": op10_mixing,
 }
