@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import edits, licences, mixing, packing, simhash, toxicity, urls, warc
+from quillmark.llm import ann, edits, licences, mixing, packing, simhash, substrings, toxicity, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", simhash.hex_digits("fp0").alias("fingerprint"), "component_id")
 
 
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.trained(docs, _table(spark, sf_dir, "labels").select("doc_id", "toxic"))
@@ -48,6 +52,11 @@ def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(_table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("words")
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = substrings.deduplicated(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.select("doc_id", F.col("_w_words").alias("n_words"), F.col("_w_removed").alias("n_removed"), F.col("_w_sha").alias("kept_sha256"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = mixing.with_copies(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return got.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -56,11 +65,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_simhash": op2_simhash,
+    "op3_ann": op3_ann,
     "op4_toxicity": op4_toxicity,
     "op5_licences": op5_licences,
     "op6_packing": op6_packing,
     "op7_edits": op7_edits,
     "op8_urls": op8_urls,
+    "op9_substrings": op9_substrings,
     "op10_mixing": op10_mixing,
 }
 
