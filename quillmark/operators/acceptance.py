@@ -33,7 +33,7 @@ def in_text(parts: DataFrame, texts: DataFrame, key: str, part: str) -> DataFram
 def suspect_characters(texts: DataFrame, key: str) -> DataFrame:
     """(key, soft_hyphens, zero_width, broken_words): broken words are only flagged."""
     n = lambda p: F.size(F.regexp_extract_all("text", F.lit(p), F.lit(0)))
-    return texts.select(key, n("­").alias("soft_hyphens"), n("​").alias("zero_width"), n(r"\p{L}-\n\p{Ll}").alias("broken_words"))
+    return texts.select(key, n("\u00ad").alias("soft_hyphens"), n("\u200b").alias("zero_width"), n(r"\p{L}-\n\p{Ll}").alias("broken_words"))
 
 
 def reference_counts(texts: DataFrame, key: str) -> DataFrame:

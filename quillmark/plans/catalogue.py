@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmark.functions import columns as C
-from quillmark.operators import acceptance, geometry, grid, integrity, markup, matching, staging, witness
+from quillmark.operators import acceptance, bundles, geometry, grid, integrity, jats, markup, matching, staging, witness
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -496,3 +496,113 @@ def lookup_chain(dois: DataFrame, ids: DataFrame, articles: DataFrame) -> DataFr
 )
 def surname_words(raw: DataFrame) -> DataFrame:
     return raw.select("key", F.array_sort(C.surnames(F.col("names"))).alias("surnames"))
+
+
+# --- whole bundles -----------------------------------------------------------------------------
+
+_MANIFEST = """case o_orderkey % 10
+  when 1 then concat('{{"schema_version": 4, "id": "p', o_orderkey, '", "title": "t", "exhibits": [{{"label": "f1", "caption": "c"}}, {{"label": "f2", "caption": "d"}}]}}')
+  when 2 then concat('{{"schema_version": 5, "id": "p', o_orderkey, '", "title": "t", "title": "u", "exhibits": []}}')
+  when 3 then concat('{{"schema_version": 5, "id": "p', o_orderkey, '", "title": "t", "exhibits": [{{"label": "f1", "caption": "c"}}, {{"label": "a b", "caption": "d"}}]}}')
+  when 4 then concat('{{"schema_version": 5, "id": "p', o_orderkey, '", "exhibits": [{{"label": "f1", "caption": "c"}}, {{"label": "f2", "caption": "d"}}]}}')
+  when 5 then concat('{{"schema_version": 5, "id": "p', o_orderkey, '", "title": "t", "x": 1, "exhibits": [{{"label": "f1", "caption": "c"}}, {{"label": "f2", "caption": "d"}}]}}')
+  when 6 then concat('{{"schema_version": 5, "id": "p', o_orderkey, '", "title": "t", "exhibits": []}}')
+  when 7 then '\ufeff{{}}'
+  when 8 then concat('{{"schema_version": true, "id": "p', o_orderkey, '", "title": "t", "exhibits": [{{"label": "f1", "caption": "c"}}, {{"label": "f2", "caption": "d"}}]}}')
+  else concat('{{"schema_version": 5, "id": "p', o_orderkey, '", "title": "t", "exhibits": [{{"label": "f1", "caption": "c"}}, {{"label": "f2", "caption": "d"}}]}}') end"""
+_TABLE = "<table><tbody><tr><td>x</td></tr></tbody></table>"
+_HOLED = '<table><tr><td colspan="2">x</td></tr><tr><td>y</td></tr></table>'
+FILES = f"""
+select cast(o_orderkey as string) as bundle_id, dir, name, kind, content, png from (
+select o_orderkey, '' as dir, '' as name, 'dir' as kind, null as content, 0 as png from {{orders}}
+union all select o_orderkey, '', 'manifest.json', 'file', {_MANIFEST}, 0 from {{orders}} where o_orderkey % 10 <> 9
+union all select o_orderkey, '', 'text.md', 'file', case when o_orderkey % 3 = 0 then ' ' else 'text' end, 0 from {{orders}}
+union all select o_orderkey, '', 'figures', 'dir', null, 0 from {{orders}}
+union all select o_orderkey, 'figures', 'f1.png', 'file', null, case when o_orderkey % 5 = 2 then 0 else 1 end from {{orders}}
+union all select o_orderkey, 'figures', case when o_orderkey % 4 = 1 then '.f2.png' else 'f2.png' end, 'file', null, 1 from {{orders}}
+union all select o_orderkey, '', 'tables', 'dir', null, 0 from {{orders}}
+union all select o_orderkey, 'tables', 'f1.html', 'file', case when o_orderkey % 6 = 3 then '{_HOLED}' else '{_TABLE}' end, 0 from {{orders}}) t
+"""
+
+
+@query(
+    "validate_corpus",
+    """, b AS (SELECT DISTINCT bundle_id, bundle_id::BIGINT AS k FROM files),
+    m AS (SELECT * FROM (VALUES (1, 'schema_version', '4'), (2, 'duplicate_key', 'title'), (3, 'name_pattern', 'exhibits[1] label ''a b'''), (4, 'missing_key', 'title'),
+    (5, 'unknown_key', 'x'), (7, 'bom', ''), (8, 'key_type', 'schema_version: bool'), (9, 'missing_file', 'manifest.json')) AS t(n, rule, detail))
+    SELECT bundle_id, 'manifest' AS phase, rule, detail FROM b JOIN m ON k % 10 = n
+    UNION ALL SELECT bundle_id, 'text', 'empty', 'text.md' FROM b WHERE k % 3 = 0
+    UNION ALL SELECT bundle_id, 'figures', 'not_png', 'f1.png' FROM b WHERE k % 5 = 2
+    UNION ALL SELECT bundle_id, 'tables', 'hole', 'f1: row 2 column 2' FROM b WHERE k % 6 = 3
+    UNION ALL SELECT bundle_id, 'binding', 'no_crop', 'f2' FROM b WHERE k % 4 = 1 AND k % 10 IN (0, 1, 4, 5, 8)
+    UNION ALL SELECT bundle_id, 'binding', 'undeclared', 'f1' FROM b WHERE k % 10 = 6
+    UNION ALL SELECT bundle_id, 'binding', 'undeclared', 'f2' FROM b WHERE k % 10 = 6 AND k % 4 <> 1
+    UNION ALL SELECT bundle_id, 'table_binding', 'undeclared', 'f1' FROM b WHERE k % 10 = 6""",
+    files=FILES,
+)
+def validate_corpus(files: DataFrame) -> DataFrame:
+    head = F.when(F.col("png") == 1, F.lit(C.PNG_HEAD)).when(F.col("dir") == "figures", F.lit(b"GIF89a.."))
+    none = F.lit(None).cast("string")
+    whole = files.select("bundle_id", F.lit("").alias("scope"), "dir", "name", "kind", F.col("name").startswith(".").alias("hidden"), F.lit(8).cast("long").alias("size"), head.alias("head"), "content", none.alias("read_error"))
+    return bundles.violations(whole).select("bundle_id", "phase", "rule", "detail")
+
+
+#: (html, rules in their order) of small tables, each with one thing to say.
+TABLE_CASES = (
+    ("<table><tr><td>a</td></tr></table>", ""),
+    ("<table><thead><tr><th scope=col>a</th></tr></thead><tbody><tr><td>b<br>c</td></tr></tbody></table>", ""),
+    ("<table><tr><td rowspan=2>a</td><td>b</td></tr><tr><td>c</td></tr></table>", ""),
+    ("<table><tr><td colspan=002>a</td></tr><tr><td>b</td><td><sup>c</sup></td></tr></table>", ""),
+    ("  ", "empty"),
+    ("<table></table>", "no_cells"),
+    ("<p>x</p>", "refused loose_text no_table"),
+    ("<table><tr><td>a</td></tr></table><table></table>", "second_table"),
+    ("<table><tr><td>a</td></tr>", "never_closed"),
+    ("<table><caption>x</caption><tr><td>a</td></tr></table>", "refused loose_text"),
+    ("<table><tr><td>a</td></tr><tr></tr></table>", "empty_row"),
+    ("<table><tr><td rowspan=3>a</td></tr></table>", "overhang"),
+    ("<table><tr><td>a</td><td>b</td></tr><tr><td>c</td></tr></table>", "hole"),
+    ("<table><tr><td rowspan=2>a</td><td>b</td></tr><tr><td colspan=0>c</td></tr></table>", "span_least"),
+    ("<table><tr><td>a</td><td rowspan=2>b</td></tr><tr><td colspan=2>c</td></tr></table>", "overlap"),
+    ("<table><tr><td colspan=1001>a</td></tr></table>", "span_limit"),
+    ("<table><tr><td colspan=+1>a</td></tr></table>", "span_number"),
+    ("<table><tr><td style=x>a</td></tr></table>", "attribute_refused"),
+    ("<table><tr><td colspan>a</td></tr></table>", "attribute_bare"),
+    ("<table><tr><th scope=x>a</th></tr></table>", "scope"),
+    ("<table><tr><td colspan=1 colspan=1>a</td></tr></table>", "attribute_repeated"),
+    ("<table><!-- x --><tr><td>a</td></tr></table>", "comment"),
+    ("<!DOCTYPE html><table><tr><td>a</td></tr></table>", "declaration"),
+    ("<table><tr><td>a</tr></table>", "nesting"),
+    ("<table><tr><td>a</td></tr></table></b>", "nothing_open"),
+    ("<table><tr><td>a</br></td></tr></table>", "void_closed"),
+    ("<table><tr><td/></tr></table>", "self_closing nesting"),
+    ("<table><tr><td>a</td></tr>x</table>", "loose_text"),
+    ("<table><td>a</td></table>", "position"),
+    ("<table><em>a</em><tr><td>a</td></tr></table>", "position loose_text"),
+)
+
+
+def _cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.createDataFrame([(i, h) for i, (h, _) in enumerate(TABLE_CASES)], "case_id int, html string")
+    found = markup.table_findings(rows, "case_id").groupBy("case_id").agg(F.array_sort(F.collect_list(F.struct("ord", "rule"))).alias("r"))
+    rules = F.coalesce(F.array_join(F.transform("r", lambda x: x["rule"]), " "), F.lit(""))
+    return rows.join(found, "case_id", "left").select("case_id", rules.alias("rules"))
+
+
+QUERIES["table_fixture_verdicts"] = _cases
+ORACLE_SQL["table_fixture_verdicts"] = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{r}')" for i, (_, r) in enumerate(TABLE_CASES)) + ") AS t(case_id, rules)"
+
+
+@query(
+    "jats_markdown",
+    """SELECT page_id, '# Paper ' || page_id || chr(10) || chr(10) || 'Ann Lee-' || page_id || ', Bo' || chr(10) || chr(10) || '## Abstract' || chr(10) || chr(10) || 'Short.' || chr(10) || chr(10)
+    || '## Methods' || chr(10) || chr(10) || 'We saw [TABLE: Table 1. Counts. Footnote: n = ' || page_id || '] here.' || chr(10) || chr(10) || '### Deep' || chr(10) || chr(10) || '- one' || chr(10) || chr(10) || '- two' || chr(10) || chr(10)
+    || '## References' || chr(10) || chr(10) || '- 1 Lee A. Title.' || chr(10) || chr(10) || '- Malone D 2001' || chr(10) AS markdown FROM articles""",
+    articles="""select page_id, concat('<article><front><article-meta><title-group><article-title>Paper ', page_id, '</article-title></title-group><contrib-group>',
+      '<contrib contrib-type="author"><name><surname>Lee-', page_id, '</surname><given-names>Ann</given-names></name></contrib><contrib contrib-type="author"><surname>Bo</surname></contrib></contrib-group>',
+      '<abstract><p>Short.</p></abstract></article-meta></front><body><sec><title>Methods</title><p>We  saw<table-wrap><label>Table 1</label><caption><p>Counts</p></caption><table><tr><td>9</td></tr></table>',
+      '<table-wrap-foot><p>n = ', page_id, '</p></table-wrap-foot></table-wrap> here.</p><sec><title>Deep</title><list><list-item><p>one</p></list-item><list-item><p>two</p></list-item></list></sec></sec></body>',
+      '<back><ref-list><ref><label>1</label><mixed-citation>Lee A. <i>Title</i>.</mixed-citation></ref><ref><element-citation><name>Malone</name><given>D</given><year>2001</year></element-citation></ref></ref-list></back></article>') as xml from {pages}""",
+)
+def jats_markdown(articles: DataFrame) -> DataFrame:
+    return jats.markdown(articles, "page_id").select("page_id", "markdown")
