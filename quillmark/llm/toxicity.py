@@ -24,7 +24,7 @@ BITS = 19
 #: Labelled documents of a class that training reads: the bound of the sample.
 MAX_PER_CLASS = 8000
 #: Features that the linear model weighs: those with the strongest ratios.
-FEATURES = 8192
+FEATURES = 8192  # their numbers are sent as 16 bits
 #: Training documents that must hold a feature for it to count.
 SUPPORT = 4
 FOLDS = 5
@@ -140,13 +140,13 @@ def trained(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLA
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [features(t.as_py(), table).astype(np.int32).tobytes() for t in b.column(0)]
+            rows = [features(t.as_py(), table).astype(np.int16).tobytes() for t in b.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), b.column(1)], ["x", "toxic"])
 
     rows = sample.mapInArrow(vectors, "x binary, toxic int").toPandas()
-    xs = [np.frombuffer(x, dtype=np.int32) for x in rows["x"]]
+    xs = [np.frombuffer(x, dtype=np.int16) for x in rows["x"]]
     ptr = np.concatenate([[0], np.cumsum([len(x) for x in xs])])
-    weights, bias = _fit(ptr, np.concatenate(xs) if xs else np.zeros(0, np.int32), best["r"].to_numpy(), rows["toxic"].to_numpy(dtype=float))
+    weights, bias = _fit(ptr, np.concatenate(xs).astype(np.int64) if xs else np.zeros(0, np.int64), best["r"].to_numpy(), rows["toxic"].to_numpy(dtype=float))
     return Model(table, weights, bias)
 
 
