@@ -288,11 +288,12 @@ def gates(files: DataFrame, facts: DataFrame) -> DataFrame:
     return by.withColumn("checked", (c("root") & ~c("broken")) | (c("declared") & c("present")))
 
 
-def violations(files: DataFrame) -> DataFrame:
+def violations(files: DataFrame, kept: list[DataFrame] | None = None) -> DataFrame:
     """VIOLATIONS of all bundles of a files DataFrame (see sources.bundles); sound ones have none.
 
     Files meet their scope's gates in one join; what one file shows is then a filter. Labels,
     crops and transcriptions meet in one aggregation, supplements in another.
+    The frames cached for that are added to kept, for a caller that runs on.
     """
     # Kept while the checks read them; kept rows are made anew where an executor is lost.
     files = files.persist()
@@ -300,6 +301,8 @@ def violations(files: DataFrame) -> DataFrame:
     gate = gates(files, facts).persist()
     c = F.col
     named = files.where("name <> ''").join(gate.where("checked"), ["bundle_id", "scope"]).persist()
+    if kept is not None:
+        kept += [files, facts, gate, named]
     top, article = c("dir") == "", c("scope") == ""
     lower = F.lower("name")
     contract = F.when(article, lower.isin(*BUNDLE_ENTRIES)).otherwise(lower.isin(*SUPPLEMENT_ENTRIES))
