@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmark.functions import columns as C
-from quillmark.operators import acceptance, bundles, geometry, grid, integrity, jats, markup, matching, staging, witness
+from quillmark.operators import acceptance, bundles, geometry, grid, integrity, jats, markup, matching, reports, staging, witness
+from quillmark.sources import registry as registries
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -606,3 +607,42 @@ ORACLE_SQL["table_fixture_verdicts"] = "SELECT * FROM (VALUES " + ", ".join(f"({
 )
 def jats_markdown(articles: DataFrame) -> DataFrame:
     return jats.markdown(articles, "page_id").select("page_id", "markdown")
+
+
+# --- registries and reports --------------------------------------------------------------------
+
+
+@query(
+    "registry_load",
+    """SELECT id, ord::INT AS ord, title, doi, CASE WHEN title IS NULL AND doi IS NULL THEN 'nothing_to_match' END AS rule FROM (
+    SELECT 'k' || o_orderkey AS id, 0 AS ord, o_orderpriority AS title, NULL AS doi FROM src
+    UNION ALL SELECT 'm' || o_orderkey, 1, NULL, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE '10.1/' || o_custkey END FROM src)""",
+    src="""select o_orderkey, o_custkey, o_orderpriority, concat('{{"data": {{"k', o_orderkey, '": {{"title": "', o_orderpriority, '"}}, "m', o_orderkey, '": {{',
+      case when o_orderkey % 5 = 0 then '"note": 1' else concat('"doi": "10.1/', o_custkey, '"') end, '}}}}}}') as raw from {orders}""",
+)
+def registry_load(src: DataFrame) -> DataFrame:
+    return registries.records(src.select("raw"), "data").select("id", "ord", "title", "doi", "rule")
+
+
+BLOCKS = "select conv_id as doc_id, cast(floor(turn / 2) as int) + 1 as page, turn as index, text from {conversations}"
+
+
+@query(
+    "blocks_text",
+    """, p AS (SELECT doc_id, page, '<!-- page ' || page || ' -->' || chr(10) || chr(10) || string_agg(text, chr(10) || chr(10) ORDER BY index, text) AS own FROM blocks GROUP BY doc_id, page)
+    SELECT doc_id, string_agg(own, chr(10) || chr(10) ORDER BY page) AS text FROM p GROUP BY doc_id""",
+    blocks=BLOCKS,
+)
+def blocks_text(blocks: DataFrame) -> DataFrame:
+    return reports.blocks_text(blocks)
+
+
+@query(
+    "reference_report",
+    """SELECT doc_id, string_agg('- ' || doi || chr(10) || '  text: ' || entry || chr(10) || '  ' || CASE status WHEN 'resolved' THEN 'registrar: R' || pos ELSE status END, chr(10) ORDER BY pos, doi, status)
+    || chr(10) || count(*) FILTER (status = 'resolved') || ' resolved, ' || count(*) FILTER (status = 'unresolved') || ' unresolved, ' || count(*) FILTER (status = 'unanswered') || ' unanswered' AS report FROM found GROUP BY doc_id""",
+    found="""select l_orderkey as doc_id, l_linenumber * 1000000 + l_partkey * 100 + l_suppkey % 100 as pos, concat('10.1/', l_partkey) as doi, concat('entry ', l_suppkey) as entry,
+      case l_partkey % 3 when 0 then 'resolved' when 1 then 'unresolved' else 'unanswered' end as status from {lineitem}""",
+)
+def reference_report(found: DataFrame) -> DataFrame:
+    return reports.reference_report(found.withColumn("record", F.concat(F.lit("R"), "pos")))
