@@ -65,3 +65,25 @@ def salted_lookup(left: DataFrame, right: DataFrame, keys: list[str], spread: li
     parts = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     dealt = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     return dealt.join(parts, [*keys, "_salt"], "left").drop("_salt")
+
+
+def frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
+    """The rows of counts, a written table, with the largest n, at most `most` of them.
+
+    Rows whose n are alike (a sixteenth of an octave) come or stay out together, so a
+    histogram of a thousand rows tells where to cut, and nothing is ranked in one place.
+    """
+    step = F.floor(F.log2(n) * 16)
+    sizes = {r["b"]: r["k"] for r in counts.groupBy(step.alias("b")).agg(F.count(F.lit(1)).alias("k")).collect()}
+    total, least = 0, None
+    for b in sorted(sizes, reverse=True):
+        total += sizes[b]
+        if total > most:
+            break
+        least = b
+    return counts.limit(0) if least is None else counts.where(step >= least)
+
+
+def hash_share(key: Column, part: int, whole: int) -> Column:
+    """Holds for about `part` of `whole` rows, or a tenth more, by the hash of their keys."""
+    return F.pmod(F.xxhash64(key, F.lit(3)), F.lit(1 << 30)) <= F.lit(int(min(1.0, 1.1 * part / max(1, whole)) * (1 << 30)))

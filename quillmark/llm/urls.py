@@ -3,8 +3,8 @@
 Concatenated host names are split into words by a Viterbi search under a unigram model, whose
 counts come from the visible words of all pages. A multinomial naive Bayes model, trained on
 the urls that a rule decides, scores the segmented host and the path tokens of the others.
-Both models keep their most frequent entries, a bound that makes them broadcastable; what
-they lack is scored by length (words) or as unseen (tokens).
+Both models keep their most frequent entries, MODEL_WORDS at most, so they can be sent to
+all tasks; what they lack is scored by length (words) or as unseen (tokens).
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import ascii_lower, small_batches, written
+from quillmark.llm.common import ascii_lower, frequent, small_batches, written
 
 # The rules, as (verdict, rule).
 RULES = (
@@ -101,7 +101,7 @@ def page_words(pages: DataFrame) -> dict[str, int]:
     visible = F.regexp_replace(F.coalesce(F.col("html"), F.lit("")), r"(?is)<script.*?</script>|<style.*?</style>|<[^>]*>", " ")
     found = pages.select(F.explode(F.regexp_extract_all(F.lower(visible), F.lit(r"(\p{L}+)"), F.lit(1))).alias("w"))
     counts = found.where(F.length("w") <= LONGEST).groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= WORD_COUNT)
-    return {r["w"]: r["n"] for r in counts.orderBy(F.desc("n"), "w").limit(MODEL_WORDS).collect()}
+    return {r["w"]: r["n"] for r in frequent(written(counts, "url-words"), "n", MODEL_WORDS).collect()}
 
 
 class Bayes:
@@ -154,7 +154,7 @@ def judged(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES) -> Data
     sides = [F.sum(F.when(F.col("said") == v, F.col("n")).otherwise(0)).alias(v) for v in VERDICTS]
     counts = written(each.groupBy("token").agg(*sides), "url-tokens")
     first = counts.where("token = ''").first()
-    top = counts.where("token <> ''").orderBy(F.desc(F.col("allow") + F.col("block")), "token").limit(MODEL_WORDS).collect()
+    top = frequent(counts.where("token <> ''").withColumn("n", F.col("allow") + F.col("block")), "n", MODEL_WORDS).collect()
     model = context.broadcast(({r["token"]: (r["allow"], r["block"]) for r in top}, (first["allow"], first["block"]) if first else (0, 0)))
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
