@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import written
+from quillmark.llm.common import hash_share, written
 
 #: Rows that the fit reads: those with the smallest hashes of their ids.
 SAMPLE = 8192
@@ -178,7 +178,8 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, parts: int = PARTS,
     common = rows.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").first()
     size = common["size"] if common else 1
     rows = rows.where(F.size("v") == size)
-    some = rows.orderBy(F.xxhash64("vec_id", F.lit(9)), "vec_id").limit(sample).select("v").toPandas()
+    few = rows.where(hash_share(F.col("vec_id"), sample, common["count"])) if common else rows
+    some = written(few.orderBy(F.xxhash64("vec_id", F.lit(3)), "vec_id").limit(sample).select("v"), "ann-sample").toPandas()
     x = np.array(some["v"].tolist(), dtype=np.float64).reshape(-1, size)
     router = spark.sparkContext.broadcast(fitted(x, parts))
     kind = "vec_id long, v array<double>, q boolean, ps array<int>"
