@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import small_batches, written
+from quillmark.llm.common import hash_share, small_batches, written
 
 GRAMS = (3, 4, 5)
 BITS = 19
@@ -80,7 +80,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_P
     own = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     own = own.where(~held_out(F.col("doc_id")))
     order = [F.xxhash64("doc_id", F.lit(3)), F.col("doc_id")]
-    some = [own.where(F.col("toxic") == y).orderBy(*order).limit(max_per_class) for y in (0, 1)]
+    sizes = {r["toxic"]: r["n"] for r in own.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    few = [own.where((F.col("toxic") == y) & hash_share(F.col("doc_id"), max_per_class, sizes.get(y, 0))) for y in (0, 1)]
+    some = [df.orderBy(*order).limit(max_per_class) for df in few]
     return docs.select("doc_id", "text").join(F.broadcast(some[0].union(some[1])), "doc_id").select("text", "toxic")
 
 
