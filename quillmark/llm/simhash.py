@@ -245,14 +245,15 @@ def hex_digits(name: str) -> Column:
     return F.lower(F.lpad(F.hex(name), 16, "0"))
 
 
-def one_of_each(docs: DataFrame, words: int = 5, lanes: int = 6, limit: int = 64) -> DataFrame:
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs, all columns, one for each group: that with the smallest doc_id.
 
-    Six lanes of five-word shingles differ by 58 of 384 bits on average where the shingles'
-    similarity is 0.8. More lanes make the estimate sharper and give more segments, of which
-    one must differ by at most one bit for a pair to meet.
+    Fingerprints are too coarse at this similarity: groups are what pairs connect whose
+    shingle sets have a Jaccard similarity of `percent` or more. See shingles.
     """
-    found = near_duplicates(docs, words, lanes, limit)
+    from quillmark.llm import shingles
+
+    found = shingles.with_components(docs, words, percent)
     kept = found.where("doc_id <=> component_id and text_hash <=> first_hash").select("doc_id", F.col("text_hash").alias("_s_hash")).distinct()
     keyed = docs.withColumn("_s_hash", F.xxhash64("text"))
     match = keyed["doc_id"].cast("long").eqNullSafe(kept["doc_id"]) & (keyed["_s_hash"] == kept["_s_hash"])
