@@ -31,24 +31,27 @@ def encoder(path: str):
     """text -> ids. path: a tokenizers .json file or the same vocabulary as .tiktoken ranks.
 
     Ids of a .tiktoken file are those of the .json file of the same name; it takes a third of
-    the time. Strings of special tokens in a text are ordinary text in either.
+    the time. The .json file's added tokens are single ids where a text holds them, in either.
     """
     if path not in _encoders:
         if path.endswith(".tiktoken"):
             import base64
+            import json
 
             import public_tokenizers
             import tiktoken
 
             with open(path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-            _encoders[path] = enc.encode_ordinary
+            with open(path.removesuffix(".tiktoken") + ".json", encoding="utf-8") as f:
+                added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+            ranks = {t: i for t, i in ranks.items() if i not in added.values()}
+            enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+            _encoders[path] = lambda text: enc.encode(text, allowed_special="all")
         else:
             from tokenizers import Tokenizer
 
             tok = Tokenizer.from_file(path)
-            tok.encode_special_tokens = True
             _encoders[path] = lambda text: tok.encode(text, add_special_tokens=False).ids
     return _encoders[path]
 

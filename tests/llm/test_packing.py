@@ -73,3 +73,14 @@ def test_query_matches_plain_tokens(spark):
             at += n
         assert at <= 256 and padding([(0, 0, at)], 256) == 0
     assert P.packed(df.limit(0), public_tokenizers.path("byte_bpe_50k.tiktoken")).count() == 0
+
+
+def test_added_tokens_as_in_an_unmodified_tokenizer():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in ("<|endoftext|>", "a<|endoftext|>b", "a <|endoftext|> b\n", "<|endoftext|><|endoftext|>", "<|endoftext", "no such token"):
+        want = plain.encode(text, add_special_tokens=False).ids
+        for kind in ("tiktoken", "json"):
+            assert P.encoder(public_tokenizers.path(f"byte_bpe_50k.{kind}"))(text) == want
+    assert 50256 in P.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))("a<|endoftext|>b")
