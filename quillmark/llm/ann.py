@@ -192,16 +192,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, parts: int = PARTS,
 
     routed = written(rows.mapInArrow(route, kind), "ann-rows")
     counts = routed.groupBy(F.col("ps")[0].alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    asked = routed.where("q").select(F.explode("ps").alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("m"))
-    # One row a part: a table of fixed size.
-    blocks = counts.join(asked, "p").select("p", F.ceil(F.col("n") / ROW_BLOCK).cast("int").alias("rb"), F.ceil(F.col("m") / QUERY_BLOCK).cast("int").alias("qb"))
-    blocks = F.broadcast(written(blocks, "ann-blocks"))
     h = F.xxhash64("vec_id", F.lit(1))
-    base = routed.select("vec_id", "v", F.col("ps")[0].alias("p")).join(blocks, "p")
-    base = base.select("p", F.pmod(h, F.col("rb")).cast("int").alias("r"), F.explode(F.sequence(F.lit(0), F.col("qb") - 1)).alias("s"), F.lit(0).alias("kind"), "vec_id", "v")
-    asks = routed.where("q").select("vec_id", "v", F.explode("ps").alias("p")).join(blocks, "p")
-    asks = asks.select("p", F.explode(F.sequence(F.lit(0), F.col("rb") - 1)).alias("r"), F.pmod(h, F.col("qb")).cast("int").alias("s"), F.lit(1).alias("kind"), "vec_id", "v")
-    met = base.union(asks).repartition("p", "r", "s").sortWithinPartitions("p", "r", "s", "kind", "vec_id")
 
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -226,7 +217,27 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, parts: int = PARTS,
         if held:
             yield found(held)
 
-    got = met.mapInArrow(rerank, "query_id long, vec_id long, score double")
+    def found_in(asking: DataFrame) -> DataFrame:
+        """asking: (vec_id, v, p). Returns (query_id, vec_id, score), the k best of each block."""
+        asked = asking.groupBy("p").agg(F.count(F.lit(1)).alias("m"))
+        # One row a part: a table of fixed size.
+        blocks = counts.join(asked, "p").select("p", F.ceil(F.col("n") / ROW_BLOCK).cast("int").alias("rb"), F.ceil(F.col("m") / QUERY_BLOCK).cast("int").alias("qb"))
+        blocks = F.broadcast(written(blocks, "ann-blocks"))
+        base = routed.select("vec_id", "v", F.col("ps")[0].alias("p")).join(blocks, "p")
+        base = base.select("p", F.pmod(h, F.col("rb")).cast("int").alias("r"), F.explode(F.sequence(F.lit(0), F.col("qb") - 1)).alias("s"), F.lit(0).alias("kind"), "vec_id", "v")
+        asks = asking.join(blocks, "p")
+        asks = asks.select("p", F.explode(F.sequence(F.lit(0), F.col("rb") - 1)).alias("r"), F.pmod(h, F.col("qb")).cast("int").alias("s"), F.lit(1).alias("kind"), "vec_id", "v")
+        met = base.union(asks).repartition("p", "r", "s").sortWithinPartitions("p", "r", "s", "kind", "vec_id")
+        return met.mapInArrow(rerank, "query_id long, vec_id long, score double")
+
+    got = written(found_in(routed.where("q").select("vec_id", "v", F.explode("ps").alias("p"))), "ann-found")
+    # Queries that have found fewer than k ids go on to the parts they have not been to.
+    enough = got.groupBy("query_id").agg(F.countDistinct("vec_id").alias("n")).where(F.col("n") >= k)
+    rest = F.array_except(F.sequence(F.lit(0), F.lit(parts - 1)), "ps")
+    short = routed.where("q").join(enough, F.col("vec_id") == F.col("query_id"), "left_anti")
+    short = written(short.select("vec_id", "v", F.explode(rest).alias("p")), "ann-short")
+    if not short.isEmpty():
+        got = got.union(found_in(short))
     got = got.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return got.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -65,3 +65,23 @@ def test_blocks_agree_with_one_block(spark, monkeypatch):
     monkeypatch.setattr(A, "ROW_BLOCK", 20)
     monkeypatch.setattr(A, "QUERY_BLOCK", 4)
     assert take() == whole
+
+
+def test_few_rows_come_out_whole_with_the_default_probes(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(45)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for n in (15, 45):
+        want = exact(rows[:n], lambda i: i % 20 == 0, 20)
+        got = {}
+        for r in A.search(df.where(F.col("vec_id") < n), F.col("vec_id") % 20 == 0).collect():
+            got.setdefault(r.query_id, []).append(r.vec_id)
+        assert {q: len(x) for q, x in got.items()} == {q: len(w) for q, w in want.items()}
+        if n == 15:
+            assert {q: set(x) for q, x in got.items()} == {q: {i for i, _ in w} for q, w in want.items()}
+
+
+def test_queries_that_find_too_few_rows_go_on(spark):
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=8)]) for i in range(15)], "vec_id long, embedding array<double>")
+    assert A.search(df, F.col("vec_id") % 20 == 0, probes=1).count() == 14
