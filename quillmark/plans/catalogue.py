@@ -598,12 +598,12 @@ ORACLE_SQL["table_fixture_verdicts"] = "SELECT * FROM (VALUES " + ", ".join(f"({
     "jats_markdown",
     """SELECT page_id, '# Paper ' || page_id || chr(10) || chr(10) || 'Ann Lee-' || page_id || ', Bo' || chr(10) || chr(10) || '## Abstract' || chr(10) || chr(10) || 'Short.' || chr(10) || chr(10)
     || '## Methods' || chr(10) || chr(10) || 'We saw [TABLE: Table 1. Counts. Footnote: n = ' || page_id || '] here.' || chr(10) || chr(10) || '### Deep' || chr(10) || chr(10) || '- one' || chr(10) || chr(10) || '- two' || chr(10) || chr(10)
-    || '## References' || chr(10) || chr(10) || '- 1 Lee A. Title.' || chr(10) || chr(10) || '- Malone D 2001' || chr(10) AS markdown FROM articles""",
+    || '## References' || chr(10) || chr(10) || '- 1 Lee A. Title.' || chr(10) || chr(10) || '- Quist E 1998' || chr(10) AS markdown FROM articles""",
     articles="""select page_id, concat('<article><front><article-meta><title-group><article-title>Paper ', page_id, '</article-title></title-group><contrib-group>',
       '<contrib contrib-type="author"><name><surname>Lee-', page_id, '</surname><given-names>Ann</given-names></name></contrib><contrib contrib-type="author"><surname>Bo</surname></contrib></contrib-group>',
       '<abstract><p>Short.</p></abstract></article-meta></front><body><sec><title>Methods</title><p>We  saw<table-wrap><label>Table 1</label><caption><p>Counts</p></caption><table><tr><td>9</td></tr></table>',
       '<table-wrap-foot><p>n = ', page_id, '</p></table-wrap-foot></table-wrap> here.</p><sec><title>Deep</title><list><list-item><p>one</p></list-item><list-item><p>two</p></list-item></list></sec></sec></body>',
-      '<back><ref-list><ref><label>1</label><mixed-citation>Lee A. <i>Title</i>.</mixed-citation></ref><ref><element-citation><name>Malone</name><given>D</given><year>2001</year></element-citation></ref></ref-list></back></article>') as xml from {pages}""",
+      '<back><ref-list><ref><label>1</label><mixed-citation>Lee A. <i>Title</i>.</mixed-citation></ref><ref><element-citation><name>Quist</name><given>E</given><year>1998</year></element-citation></ref></ref-list></back></article>') as xml from {pages}""",
 )
 def jats_markdown(articles: DataFrame) -> DataFrame:
     return jats.markdown(articles, "page_id").select("page_id", "markdown")

@@ -8,13 +8,13 @@ from quillmark.functions.strict_json import parsed, repeated_keys
 from quillmark.operators import bundles as B
 from quillmark.sources.bundles import BundleFiles, figure_files, supplement_dirs
 
-MANIFEST = {"schema_version": 5, "id": "paper", "title": "T", "exhibits": [{"label": "fig_01", "caption": "c"}, {"label": "_x1", "caption": "d", "notes": "n"}]}
+MANIFEST = {"schema_version": 5, "id": "paper", "title": "T", "exhibits": [{"label": "fig_01", "caption": "c"}, {"label": "_z9", "caption": "d", "notes": "n"}]}
 TABLE = "<table><tr><td>a</td></tr></table>"
 
 
 def make(root, name, manifest=MANIFEST, supplements=None, drop=(), extra=None):
     at = root / name
-    files = {"manifest.json": manifest if isinstance(manifest, str) else json.dumps(manifest), "text.md": "# T\r\ntext", "figures/fig_01.png": PNG_HEAD + b"x", "figures/_x1.png": PNG_HEAD, "tables/fig_01.html": TABLE}
+    files = {"manifest.json": manifest if isinstance(manifest, str) else json.dumps(manifest), "text.md": "# T\r\ntext", "figures/fig_01.png": PNG_HEAD + b"x", "figures/_z9.png": PNG_HEAD, "tables/fig_01.html": TABLE}
     if supplements is not None:
         files["supplements.json"] = supplements if isinstance(supplements, str) else json.dumps(supplements)
         files |= {"supplements/s1/figures/s1_f.png": PNG_HEAD, "supplements/s1/text.md": "s"}
@@ -47,9 +47,9 @@ def found(spark, tmp_path_factory):
         make(r, "unknown_key", manifest=MANIFEST | {"x": 1, "schema_version": 4}),
         make(r, "bool_version", manifest=MANIFEST | {"schema_version": True, "doi": 5, "summary": ""}),
         make(r, "undeclared", manifest=exhibits("fig_01", "gone")),
-        make(r, "twice_label", manifest=exhibits("fig_01", "fig_01", "_x1")),
+        make(r, "twice_label", manifest=exhibits("fig_01", "fig_01", "_z9")),
         make(r, "stray", extra={"figures/a.PNG": b"x", "figures/.DS_Store": b"x", "tables/readme.txt": b"x", "figures/sub/x.png": b"x"}),
-        make(r, "gif", extra={"figures/fig_01.png": b"GIF89a", "figures/_x1.png": b""}),
+        make(r, "gif", extra={"figures/fig_01.png": b"GIF89a", "figures/_z9.png": b""}),
         make(r, "bad_table", extra={"tables/fig_01.html": "<table><tr><td>a</td></tr><tr></tr></table>"}),
         make(r, "loose_table", extra={"tables/other.html": TABLE}),
         make(r, "case", extra={"Text.md": "x"}),
@@ -58,15 +58,15 @@ def found(spark, tmp_path_factory):
         make(r, "two_supplements", supplements=SUPP | {"supplements": [*SUPP["supplements"], {"name": "s2", "title": "S", "exhibits": []}]}),
         make(r, "climbing", supplements=SUPP | {"supplements": [{"name": "..", "title": "S", "exhibits": []}]}),
         make(r, "null_supplements", supplements={"id": "paper", "supplements": None}),
-        make(r, "clash", manifest=exhibits("fig_01", "_x1", "s1_f"), supplements=SUPP, extra={"figures/s1_f.png": PNG_HEAD}),
+        make(r, "clash", manifest=exhibits("fig_01", "_z9", "s1_f"), supplements=SUPP, extra={"figures/s1_f.png": PNG_HEAD}),
         make(r, "clash_malformed", manifest="[]", supplements=SUPP | {"supplements": [*SUPP["supplements"], {"name": "s2", "title": "S", "exhibits": [{"label": "s1_f", "caption": "c"}]}]}, extra={"supplements/s2/figures/s1_f.png": PNG_HEAD}),
         make(r, "empty_supplement_text", supplements=SUPP, extra={"supplements/s1/text.md": ""}),
-        make(r, "figures_file", drop=["figures/fig_01.png", "figures/_x1.png"], extra={"figures": "x"}),
+        make(r, "figures_file", drop=["figures/fig_01.png", "figures/_z9.png"], extra={"figures": "x"}),
     ]
     pipe = r / "sound_pipe"
     make(r, "sound_pipe")
-    os.remove(pipe / "figures/_x1.png")
-    os.mkfifo(pipe / "figures/_x1.png")
+    os.remove(pipe / "figures/_z9.png")
+    os.mkfifo(pipe / "figures/_z9.png")
     os.symlink("/nowhere/at/all", pipe / "figures/dangling.png")
     spark.dataSource.register(BundleFiles)
     files = spark.read.format("bundle_files").option("paths", "\n".join([*paths, str(pipe)])).load()
@@ -89,10 +89,10 @@ CASES = {
     "malformed_exhibits": [("manifest", "", "key_empty", "exhibits[0] caption"), ("manifest", "", "name_pattern", "exhibits[0] label 'a b'")],
     "unknown_key": [("manifest", "", "schema_version", "4"), ("manifest", "", "unknown_key", "x")],
     "bool_version": [("manifest", "", "key_empty", "summary"), ("manifest", "", "key_type", "doi: int"), ("manifest", "", "key_type", "schema_version: bool")],
-    "undeclared": [("binding", "", "no_crop", "gone"), ("binding", "", "undeclared", "_x1")],
+    "undeclared": [("binding", "", "no_crop", "gone"), ("binding", "", "undeclared", "_z9")],
     "twice_label": [("manifest", "", "label_twice", "exhibits[1] 'fig_01'")],
     "stray": [("figures", "", "subdirectory", "sub"), ("figures", "", "suffix", "a.PNG"), ("tables", "", "suffix", "readme.txt")],
-    "gif": [("figures", "", "empty", "_x1.png"), ("figures", "", "not_png", "fig_01.png")],
+    "gif": [("figures", "", "empty", "_z9.png"), ("figures", "", "not_png", "fig_01.png")],
     "bad_table": [("tables", "", "empty_row", "fig_01: row 2")],
     "loose_table": [("table_binding", "", "undeclared", "other")],
     "case": [("case", "", "miscased", "Text.md")],
@@ -105,7 +105,7 @@ CASES = {
     "clash_malformed": [("manifest", "", "not_object", "list"), ("uniqueness", "supplements/s2/", "label_twice", "s1_f supplements/s1/")],
     "empty_supplement_text": [("contents", "supplements/s1/", "empty", "text.md")],
     "figures_file": [("figures", "", "not_directory", "figures")],
-    "sound_pipe": [("binding", "", "undeclared", "dangling"), ("figures", "", "special", "_x1.png"), ("figures", "", "special", "dangling.png")],
+    "sound_pipe": [("binding", "", "undeclared", "dangling"), ("figures", "", "special", "_z9.png"), ("figures", "", "special", "dangling.png")],
 }
 
 
@@ -116,7 +116,7 @@ def test_violations(found, name):
 
 def test_listings_keep_legal_underscores(found):
     crops = [(r.bundle_id, r.label) for r in figure_files(found[1]).collect() if r.bundle_id == "sound"]
-    assert crops == [("sound", "_x1"), ("sound", "fig_01")]
+    assert crops == [("sound", "_z9"), ("sound", "fig_01")]
     assert ("with_supplement", "s1") in [tuple(r) for r in supplement_dirs(found[1]).collect()]
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillmark.functions import columns as C
 
-ODD = ["", " ", "a", "fig_01", "fig_01\n", "_x1", ".hidden01", "7", "..", "-_-", "a b", "a/b", "été", " x ", " y\u0085", "\x1cz\x1f"]
+ODD = ["", " ", "a", "fig_01", "fig_01\n", "_z9", ".hidden01", "7", "..", "-_-", "a b", "a/b", "été", " x ", " y\u0085", "\x1cz\x1f"]
 
 
 def column(spark, values, make):
