@@ -1,9 +1,13 @@
 """WARC archives: a writer of gzip members and a reader that splits files by byte ranges.
 
 A task of the reader gets a range of a file. It scans the range for gzip magic, decodes the
-member found there, and takes it for a record if its header is a WARC header and another
-member or the file's end follows it. It owns the records that start in its range, also the
-last one, which may end beyond it. So files of any size are read by many tasks.
+member found there, and takes it for a record if it begins with a WARC header, holds the length
+that the header states and ends with a right gzip trailer. It owns the records that start in its
+range, also the last one, which may end beyond it. So files of any size are read by many tasks.
+
+Where neither another member nor the file's end follows, a candidate may be a record before
+damage or bytes inside another record. Within a chain of records it is the former. Before the
+first record of a range that is settled by reading on from an earlier range.
 """
 
 from __future__ import annotations
@@ -23,8 +27,9 @@ from quillmark.llm.common import shared_path, small_batches, written
 MAGIC = b"\x1f\x8b\x08"
 #: Bytes of a file that a task reads.
 RANGE_BYTES = 8 << 20
-#: Bytes that are read at once.
+#: Bytes that are read at once, and of these the first that a member is decoded from.
 READ_BYTES = 1 << 20
+FIRST_BYTES = 1 << 13
 #: Groups of equal payloads are joined in so many parts.
 SALTS = 32
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
@@ -53,7 +58,7 @@ def member(page_id: int | None, url: str | None, payload: bytes, refers_to: int
 
 
 def parsed(record: bytes) -> dict | None:
-    """The fields of a record, or None if its header is not that of a WARC record."""
+    """The fields of a record, or None if its header is not that of a WARC record, or states more than it holds."""
     if not record.startswith(b"WARC/1."):
         return None
     head, _, rest = record.partition(b"\r\n\r\n")
@@ -65,7 +70,7 @@ def parsed(record: bytes) -> dict | None:
     if "warc-type" not in named or not named.get("content-length", "").isdigit():
         return None
     block = rest[: int(named["content-length"])]
-    return named | {"block": block}
+    return named | {"block": block} if len(block) == int(named["content-length"]) else None
 
 
 def _page(uri: str | None) -> int | None:
@@ -85,56 +90,85 @@ def _row(r: dict) -> tuple:
 
 
 class _Bytes:
-    """A file's bytes from an offset on, read as they are needed."""
+    """A file's bytes through one window that slides forward. upto: what lies beyond is read only as
+    it is needed. taken: the bytes read so far."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, upto: int):
         system, name = fs.FileSystem.from_uri(path)
         self.file = system.open_input_file(name)
-        self.size = self.file.size()
-
-    def at(self, start: int, n: int) -> bytes:
-        return self.file.read_at(min(n, max(0, self.size - start)), start)
-
-
-def _member_at(source: _Bytes, start: int) -> tuple[bytes, int] | None:
-    """The member that starts there and where it ends; None if there is none that ends well."""
-    z, at, out = zlib.decompressobj(31), start, []
+        self.size, self.upto = self.file.size(), upto
+        self.base, self.held, self.taken = 0, b"", 0
+
+    def at(self, start: int, n: int) -> memoryview:
+        end = min(start + n, self.size)
+        if start < self.base or start > self.base + len(self.held):
+            self.base, self.held = start, b""
+        have = self.base + len(self.held)
+        if end > have:
+            more = max(end - have, min(READ_BYTES, self.upto - have))
+            got = self.file.read_at(min(more, self.size - have), have)
+            self.taken += len(got)
+            self.base, self.held = start, self.held[start - self.base :] + got
+        return memoryview(self.held)[start - self.base : max(start, end) - self.base]
+
+    def find(self, what: bytes, start: int, end: int) -> int:
+        """Where `what` first begins in [start, end), or -1."""
+        n = len(what)
+        while start < end:
+            got = -1 if len(self.at(start, n)) < n else self.held.find(what, start - self.base, end - self.base + n - 1)
+            if got >= 0:
+                return self.base + got
+            start = max(start + 1, self.base + len(self.held) - n + 1)
+        return -1
+
+
+def _member_at(source: _Bytes, start: int) -> tuple[dict, int] | None:
+    """The record whose member starts there, and where it ends; None if there is none that is whole."""
+    z, at, out, size = zlib.decompressobj(31), start, [], FIRST_BYTES
     try:
         while not z.eof:
-            chunk = source.at(at, READ_BYTES)
-            if not chunk:
+            chunk = source.at(at, size)
+            if not len(chunk):
                 return None
             out.append(z.decompress(chunk))
-            if sum(map(len, out[:2])) >= 7 and not b"".join(out[:2]).startswith(b"WARC/1."):
-                return None
             at += len(chunk)
+            size = min(2 * size, READ_BYTES)
+            if len(out) > 1 and len(out[0]) < 7:
+                out = [b"".join(out)]
+            if len(out[0]) >= 7 and not out[0].startswith(b"WARC/1."):
+                return None
     except zlib.error:
         return None
-    end = at - len(z.unused_data)
-    follows = source.at(end, len(MAGIC))
-    return (b"".join(out), end) if follows in (b"", MAGIC) else None
+    record = parsed(b"".join(out))
+    return (record, at - len(z.unused_data)) if record is not None else None
+
+
+def _members(source: _Bytes, at: int, end: int) -> Iterator[tuple[int, int, dict]]:
+    """(start, end, record) of the members that start in [at, end) of a file."""
+    first = at
+    chained = at == 0
+    while (hit := source.find(MAGIC, at, end)) >= 0:
+        got = _member_at(source, hit)
+        if got is None:
+            at = hit + 1
+            continue
+        record, after = got
+        if not chained and bytes(source.at(after, len(MAGIC))) not in (b"", MAGIC):
+            # Whether it is inside another record shows from where the records before it end.
+            covering = [e for s, e, _ in _members(source, max(0, first - RANGE_BYTES), first) if s < hit < e]
+            if covering:
+                at, chained = covering[-1], True
+                continue
+        chained = True
+        yield hit, after, record
+        at = after
 
 
 def records_of(path: str, start: int, end: int) -> Iterator[dict]:
     """The records whose members start in [start, end) of a file."""
-    source = _Bytes(path)
-    at, end = start, min(end, source.size)
-    while at < end:
-        window = source.at(at, min(READ_BYTES, end - at) + len(MAGIC) - 1)
-        hit = window.find(MAGIC)
-        if hit < 0:
-            at += min(READ_BYTES, end - at)
-            continue
-        at += hit
-        if at >= end:
-            return
-        got = _member_at(source, at)
-        record = parsed(got[0]) if got else None
-        if record is None:
-            at += 1
-            continue
+    source = _Bytes(path, end)
+    for _, _, record in _members(source, start, min(end, source.size)):
         yield record
-        at = got[1]
 
 
 def with_originals(pages: DataFrame, min_bytes: int = 0) -> DataFrame:

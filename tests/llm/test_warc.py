@@ -72,7 +72,37 @@ def test_false_magic_and_damage_are_skipped(tmp_path):
     size = path.stat().st_size
     for step in (50, size):
         got = [W._row(r)[0] for at in range(0, size, step) for r in W.records_of(f"file://{path}", at, at + step)]
-        assert 99 not in got and got.count(2) == 2
+        assert got == [1, 2, 2]
+
+
+def test_records_before_damage_padding_and_truncation(tmp_path):
+    whole = [W.member(i, f"u{i}", b"body %d" % i, None, False) for i in range(6)]
+    path = tmp_path / "d.warc.gz"
+    path.write_bytes(whole[0] + b"\0\1\2\3" + whole[1] + whole[2][:40] + whole[3] + b"\x1f\x8b" + whole[4] + whole[5] + b"\0" * 512)
+    size = path.stat().st_size
+    for step in (13, 64, 300, size):
+        got = [W._row(r)[0] for at in range(0, size, step) for r in W.records_of(f"file://{path}", at, at + step)]
+        assert got == [0, 1, 3, 4, 5]
+    path.write_bytes(whole[0] + whole[1][:-3])
+    assert [W._row(r)[0] for r in W.records_of(f"file://{path}", 0, 10_000)] == [0]
+
+
+def test_lengths_that_headers_state_must_hold(tmp_path):
+    head = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\nContent-Length: 900\r\n\r\nshort"
+    path = tmp_path / "s.warc.gz"
+    path.write_bytes(gzip.compress(head) + W.member(2, "u", b"x", None, False))
+    assert [W._row(r)[0] for r in W.records_of(f"file://{path}", 0, 10_000)] == [2]
+
+
+def test_each_byte_is_read_about_once(tmp_path):
+    path = tmp_path / "r.warc.gz"
+    path.write_bytes(b"".join(W.member(i, f"u{i}", b"page %d" % i * 30, None, False) for i in range(3000)))
+    size = path.stat().st_size
+    for step in (size, size // 3 + 1):
+        sources = [W._Bytes(f"file://{path}", at + step) for at in range(0, size, step)]
+        got = [r for s, at in zip(sources, range(0, size, step), strict=True) for r in W._members(s, at, min(at + step, size))]
+        assert len(got) == 3000
+        assert all(s.taken <= step + 2 * W.FIRST_BYTES for s in sources)
 
 
 def test_long_members_end_beyond_the_range(tmp_path):
