@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Texts in an Arrow batch. A batch holds whole texts, so this bounds a Python worker's memory.
 BATCH_ROWS = 512
+BATCH_BYTES = 32 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,8 +43,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of whole texts stay small enough for a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Arrow batches of whole texts stay small enough for a Python worker: so many rows or bytes,
+    whichever comes first. A setting of the caller's own stays."""
+    for name, value in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        if spark.conf.get(key) == _defaults.setdefault(key, _default(spark, key)):
+            spark.conf.set(key, str(value))
+
+
+_defaults: dict[str, str] = {}
+
+
+def _default(spark: SparkSession, key: str) -> str:
+    """What the setting is where nobody has set it."""
+    fresh = spark.newSession()
+    fresh.conf.unset(key)
+    return fresh.conf.get(key)
 
 
 def ascii_lower(c: Column) -> Column:
@@ -67,21 +82,26 @@ def salted_lookup(left: DataFrame, right: DataFrame, keys: list[str], spread: li
     return dealt.join(parts, [*keys, "_salt"], "left").drop("_salt")
 
 
-def frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
-    """The rows of counts, a written table, with the largest n, at most `most` of them.
+def hot_keys(rows: DataFrame, keys: list[str], share: int = 1024) -> DataFrame:
+    """The keys that hold more than one in `share` of the rows: fewer than `share` of them, so they may be broadcast."""
+    counts = written(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    return counts.where(F.col("_n") * share > total).select(*keys, F.lit(True).alias("_hot"))
 
-    Rows whose n are alike (a sixteenth of an octave) come or stay out together, so a
-    histogram of a thousand rows tells where to cut, and nothing is ranked in one place.
+
+def hot_lookup(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str], salts: int = 64, hot: DataFrame | None = None) -> DataFrame:
+    """left joined with right, whose keys are unique. left is a written table, or hot, the keys that
+    hold a large share of it, is given.
+
+    Keys that hold a large share of left are dealt to `salts` parts by the hash of the columns
+    `spread`, and only their rows of right are repeated. Keys are not null.
     """
-    step = F.floor(F.log2(n) * 16)
-    sizes = {r["b"]: r["k"] for r in counts.groupBy(step.alias("b")).agg(F.count(F.lit(1)).alias("k")).collect()}
-    total, least = 0, None
-    for b in sorted(sizes, reverse=True):
-        total += sizes[b]
-        if total > most:
-            break
-        least = b
-    return counts.limit(0) if least is None else counts.where(step >= least)
+    hot = F.broadcast(hot_keys(left, keys) if hot is None else hot)
+    salt = lambda value: F.when(F.col("_hot"), value)
+    dealt = left.join(hot, keys, "left").withColumn("_salt", F.coalesce(salt(F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")), F.lit(0))).drop("_hot")
+    every = F.coalesce(salt(F.sequence(F.lit(0), F.lit(salts - 1))), F.array(F.lit(0)))
+    parts = right.join(hot, keys, "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    return dealt.join(parts, [*keys, "_salt"], "left").drop("_salt")
 
 
 def hash_share(key: Column, part: int, whole: int) -> Column:
