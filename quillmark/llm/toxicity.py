@@ -1,10 +1,11 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-Features are the hashed byte n-grams that a text holds (whether, not how often). Their ratio
-r = log of the share of toxic over the share of clean training documents that hold them
-scales them; a logistic regression on the scaled features gives the weights. Training reads
-at most MAX_PER_CLASS labelled documents of either class, those with the smallest hashes of
-their ids; the model is a table of fixed size, whatever the corpus.
+Features are the hashed n-grams of characters that a text holds (whether, not how often); no
+gram is left out. Their ratio r = log of the share of toxic over the share of clean training
+documents that hold them scales them; a logistic regression on the scaled features gives the
+weights. Training reads at most MAX_PER_CLASS labelled documents of either class, those with the
+smallest hashes of their ids, so it fits one task; the model is a table of fixed size, whatever
+the corpus.
 """
 
 from __future__ import annotations
@@ -20,50 +21,58 @@ from pyspark.sql import functions as F
 from quillmark.llm.common import hash_share, small_batches, written
 
 GRAMS = (3, 4, 5)
-BITS = 19
+#: Places of the table that grams are hashed to.
+BITS = 20
 #: Labelled documents of a class that training reads: the bound of the sample.
-MAX_PER_CLASS = 8000
-#: Features that the linear model weighs: those with the strongest ratios.
-FEATURES = 8192  # their numbers are sent as 16 bits
-#: Training documents that must hold a feature for it to count.
-SUPPORT = 4
+MAX_PER_CLASS = 2500
 FOLDS = 5
-#: Bytes of a text that are hashed at once.
-PIECE = 1 << 20
-
-_FOLD = np.arange(256, dtype=np.uint8)
+#: Characters of a text that are hashed at once.
+PIECE = 1 << 18
+#: Documents whose products training holds at once.
+BLOCK = 2048
+#: What is added to each share of a class.
+SMOOTH = 0.02
+
+_FOLD = np.arange(128, dtype=np.uint32)
 _FOLD[65:91] += 32
 _FOLD[[9, 10, 11, 12, 13]] = 32
+_scratch = np.zeros(1 << BITS, dtype=np.int32)
+
+
+def _distinct(v: np.ndarray) -> np.ndarray:
+    """Each value once, the last of each, without sorting."""
+    n = np.arange(len(v), dtype=np.int32)
+    _scratch[v] = n
+    return v[_scratch[v] == n]
 
 
-def features(text: str | None, table: np.ndarray | None = None) -> np.ndarray:
-    """The distinct hashed n-grams of a text, or the numbers that `table` has for them."""
-    raw = _FOLD[np.frombuffer(b" " + (text or "").encode("utf-8", "replace") + b" ", dtype=np.uint8)]
+def features(text: str | None) -> np.ndarray:
+    """The distinct hashed n-grams of a text: A-Z are lowered, ASCII white space is a space, and a
+    space stands at both ends."""
+    points = np.frombuffer(f" {text or ' '} ".encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    raw = np.where(points < 128, _FOLD[np.minimum(points, 127)], points).astype(np.uint32)
     found = []
     for at in range(0, len(raw), PIECE):
-        x = raw[at : at + PIECE + max(GRAMS) - 1].astype(np.uint32)
-        h = np.zeros(len(x), dtype=np.uint32)
+        x = raw[at : at + PIECE + max(GRAMS) - 1]
+        h, grams = np.zeros(len(x), dtype=np.uint32), []
         for k in range(max(GRAMS)):
             h = h[: len(x) - k] * np.uint32(0x01000193) + x[k:]
             if k + 1 in GRAMS and len(h):
-                v = ((h ^ np.uint32(k)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
-                if table is not None:
-                    v = table[v]
-                    v = v[v >= 0]
-                found.append(np.unique(v))
-    return np.unique(np.concatenate(found)) if found else np.zeros(0, dtype=np.uint32)
+                grams.append(((h ^ np.uint32(k)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS))
+        if grams:
+            found.append(_distinct(np.concatenate(grams)))
+    return found[0] if len(found) == 1 else np.unique(np.concatenate(found)) if found else np.zeros(0, dtype=np.uint32)
 
 
 @dataclass
 class Model:
-    """table: number of a hashed n-gram or -1; weights: of the numbers."""
+    """weights: of the places that grams are hashed to."""
 
-    table: np.ndarray
     weights: np.ndarray
     bias: float
 
     def score(self, text: str | None) -> float:
-        z = self.bias + float(self.weights[features(text, self.table)].sum())
+        z = self.bias + float(self.weights[features(text)].sum(dtype=np.float64))
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
@@ -86,21 +95,38 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_P
     return docs.select("doc_id", "text").join(F.broadcast(some[0].union(some[1])), "doc_id").select("text", "toxic")
 
 
-def _fit(ptr: np.ndarray, idx: np.ndarray, r: np.ndarray, y: np.ndarray, rounds: int = 150, penalty: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Logistic regression on the scaled features, by accelerated gradient steps."""
-    rows = np.repeat(np.arange(len(y)), np.diff(ptr))
-    x = r[idx]
-    n, k = len(y), len(r)
-    rate = 4.0 / max(1.0, np.bincount(rows, x * x, minlength=n).mean() + 1)
-    w, v, b, c = np.zeros(k), np.zeros(k), 0.0, 0.0
+def ratios(xs: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """Log of the share of toxic over the share of clean documents that hold a feature, both
+    smoothed alike, so that rare features of the smaller class don't stand out."""
+    held = np.zeros((2, 1 << BITS))
+    for x, toxic in zip(xs, y, strict=True):
+        held[int(toxic), x] += 1
+    return np.log(held[1] / (y == 1).sum() + SMOOTH) - np.log(held[0] / (y == 0).sum() + SMOOTH)
+
+
+def fit(xs: list[np.ndarray], y: np.ndarray, r: np.ndarray, rounds: int = 40, penalty: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Logistic regression on the features scaled by r, by accelerated gradient steps: the weights of
+    the features themselves, and the bias. Mean loss plus half the penalty times the squared weights."""
+    n = len(y)
+    blocks = []
+    for at in range(0, n, BLOCK):
+        part = xs[at : at + BLOCK]
+        sizes = np.array([len(x) for x in part])
+        blocks.append((at, np.concatenate(part).astype(np.int32), np.cumsum(sizes) - sizes, sizes))
+    mean = sum(float((r[idx] ** 2).sum()) for _, idx, _, _ in blocks) / n
+    rate = 4.0 / (mean + 1 + 4 * penalty)
+    w, v, b, c = np.zeros(len(r)), np.zeros(len(r)), 0.0, 0.0
     for t in range(rounds):
         m = t / (t + 3)
         wn, bn = w + m * (w - v), b + m * (b - c)
-        z = np.bincount(rows, x * wn[idx], minlength=n) + bn
-        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / n
+        scaled, slope, total = wn * r, np.zeros(len(r)), 0.0
+        for at, idx, starts, sizes in blocks:
+            z = np.add.reduceat(scaled[idx], starts) + bn  # each text has a gram
+            g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[at : at + len(sizes)]) / n
+            slope += np.bincount(idx, np.repeat(g, sizes), minlength=len(r))
+            total += g.sum()
         v, c = w, b
-        w = wn - rate * (np.bincount(idx, x * g[rows], minlength=k) + penalty * wn)
-        b = bn - rate * g.sum()
+        w, b = wn - rate * (slope * r + penalty * wn), bn - rate * total
     return w * r, float(b)
 
 
@@ -108,48 +134,30 @@ def trained(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLA
     """A model of labels.toxic. With rows of one class only, every text scores that class's smoothed share."""
     small_batches(docs.sparkSession)
     sample = written(training_rows(docs, labels, max_per_class).repartition(12), "toxicity-sample")
-    size = 1 << BITS
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, docs_of = np.zeros((2, size), dtype=np.int64), np.zeros(2, dtype=np.int64)
-        for b in batches:
-            for text, y in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-                held[y, features(text.as_py())] += 1
-                docs_of[y] += 1
-        f = np.flatnonzero(held.sum(0))
-        out = [np.append(f, size), np.append(held[0, f], docs_of[0]), np.append(held[1, f], docs_of[1])]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["f", "clean", "toxic"])
-
-    counts = written(sample.mapInArrow(counted, "f long, clean long, toxic long").groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "toxicity-counts")
-    both = counts.where(F.col("f") == size).first()
-    clean, toxic = (both["clean"], both["toxic"]) if both else (0, 0)
-    table = np.full(size, -1, dtype=np.int32)
-    if not clean or not toxic:
-        share = (toxic + 1) / (clean + toxic + 2)
-        return Model(table, np.zeros(1), float(np.log(share / (1 - share))))
-    ratio = F.log(((F.col("toxic") + 0.5) / (toxic + 1.0)) / ((F.col("clean") + 0.5) / (clean + 1.0)))
-    best = (
-        counts.where((F.col("f") < size) & (F.col("clean") + F.col("toxic") >= SUPPORT))
-        .select("f", ratio.alias("r"), F.sqrt(F.col("toxic") / toxic + F.col("clean") / clean).alias("share"))
-        .orderBy(F.desc(F.abs("r") * F.col("share")), "f")
-        .limit(FEATURES)
-        .toPandas()
-    )
-    if not len(best):
-        share = (toxic + 1) / (clean + toxic + 2)
-        return Model(table, np.zeros(1), float(np.log(share / (1 - share))))
-    table[best["f"].to_numpy()] = np.arange(len(best), dtype=np.int32)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [features(t.as_py(), table).astype(np.int16).tobytes() for t in b.column(0)]
+            rows = [features(t.as_py()).astype("<i4").tobytes() for t in b.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), b.column(1)], ["x", "toxic"])
 
-    rows = sample.mapInArrow(vectors, "x binary, toxic int").toPandas()
-    xs = [np.frombuffer(x, dtype=np.int16) for x in rows["x"]]
-    ptr = np.concatenate([[0], np.cumsum([len(x) for x in xs])])
-    weights, bias = _fit(ptr, np.concatenate(xs).astype(np.int64) if xs else np.zeros(0, np.int64), best["r"].to_numpy(), rows["toxic"].to_numpy(dtype=float))
-    return Model(table, weights, bias)
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        xs, y = [], []
+        for b in batches:
+            xs += [np.frombuffer(x.as_buffer(), dtype="<i4") for x in b.column(0)]
+            y += b.column(1).to_pylist()
+        y = np.array(y, dtype=float)
+        toxic, clean = int((y == 1).sum()), int((y == 0).sum())
+        if toxic and clean:
+            weights, bias = fit(xs, y, ratios(xs, y))
+        else:
+            share = (toxic + 1) / (clean + toxic + 2)
+            weights, bias = np.zeros(1 << BITS), float(np.log(share / (1 - share)))
+        yield pa.RecordBatch.from_arrays([pa.array([weights.astype("<f4").tobytes()], pa.binary()), pa.array([bias])], ["weights", "bias"])
+
+    rows = written(sample.mapInArrow(vectors, "x binary, toxic int"), "toxicity-vectors")
+    # The sample is bounded, so one task may have all of it; rows come in one order.
+    got = written(rows.coalesce(1).sortWithinPartitions("x").mapInArrow(learn, "weights binary, bias double"), "toxicity-model").first()
+    return Model(np.frombuffer(got["weights"], dtype="<f4"), got["bias"]) if got else Model(np.zeros(1 << BITS, dtype="<f4"), 0.0)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
