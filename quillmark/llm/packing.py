@@ -1,7 +1,7 @@
 """Packing documents into sequences: first-fit decreasing with a tournament tree of capacities.
 
-Documents go to randomised groups of about GROUP_DOCS; every group is packed by itself, so a
-task holds the ids of one group. In a group, whole sequences are cut from long documents, the
+Documents go to randomised groups of about GROUP_DOCS; every group is packed by itself, in turns of
+about TURN_TOKENS, so a task holds the ids of one turn and of one document. In a turn, whole sequences are cut from long documents, the
 rests are placed first-fit decreasing, then the emptiest sequences fill the gaps of the
 others, and what is left over is cut into sequences whose lengths are powers of two.
 """
@@ -22,6 +22,10 @@ from quillmark.llm.common import small_batches
 SEQUENCE = 2048
 END = 1
 GROUP_DOCS = 1024
+#: Tokens after which a group's documents are packed and the group goes on with the next ones.
+TURN_TOKENS = 4 << 20
+#: Groups of a task.
+TASK_GROUPS = 16
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 _encoders: dict[str, object] = {}
@@ -134,9 +138,11 @@ def pack(lengths: list[int], sequence: int = SEQUENCE) -> list[list[tuple[int, i
     return full
 
 
-def _rows(group: int, ids: list[object], docs: list[np.ndarray], sequence: int) -> pa.RecordBatch:
+def _rows(group: int, first: int, ids: list[object], docs: list[np.ndarray], sequence: int) -> tuple[pa.RecordBatch, int]:
+    """The pieces of a turn whose sequences are numbered from `first`, and the next number."""
     cols: list[list] = [[] for _ in range(7)]
-    for k, pieces in enumerate(pack([len(x) for x in docs], sequence)):
+    bins = pack([len(x) for x in docs], sequence)
+    for k, pieces in enumerate(bins, first):
         at = 0
         for d, s, n in pieces:
             crc = zlib.crc32(docs[d][s : s + n].tobytes())
@@ -144,40 +150,43 @@ def _rows(group: int, ids: list[object], docs: list[np.ndarray], sequence: int)
                 col.append(v)
             at += n
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names), first + len(bins)
 
 
 def packed(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end: int = END, group_docs: int = GROUP_DOCS) -> DataFrame:
     """docs: (doc_id, text); other columns are not read. A row per piece, see PIECES.
 
     A null text is an empty one, whose only id is `end`. A null doc_id is kept. Rows that
-    share a doc_id are packed one by one. Sequence ids are 2^32 times the group plus the
-    place in the group. An empty table gives no rows.
+    share a doc_id are packed one by one; equal rows are in one group, in turns. Sequence ids are
+    2^32 times the group plus the place in the group. An empty table gives no rows.
     """
     small_batches(docs.sparkSession)
-    n = docs.count()
-    groups = max(1, math.ceil(n / group_docs))
+    groups = max(1, math.ceil(docs.count() / group_docs))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(groups / TASK_GROUPS))
     dealt = (
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         .withColumn("h", F.xxhash64("doc_id", "text"))
         .withColumn("g", F.pmod(F.xxhash64("h", F.lit(7)), F.lit(groups)))
-        .repartition("g")
+        .repartition(parts, "g")
         .sortWithinPartitions("g", "h", "doc_id")
         .select("g", "doc_id", "text")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
-        group, ids, held = None, [], []
+        group, number, tokens, ids, held = None, 0, 0, [], []
         for b in batches:
             for g, doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                if held and (g != group or tokens >= TURN_TOKENS):
+                    rows, number = _rows(group, number, ids, held, sequence)
+                    yield rows
+                    tokens, ids, held = 0, [], []
                 if g != group:
-                    if held:
-                        yield _rows(group, ids, held, sequence)
-                    group, ids, held = g, [], []
+                    group, number = g, 0
                 ids.append(doc_id)
                 held.append(np.array([*encode(text.as_py()), end], dtype="<u4"))
+                tokens += len(held[-1])
         if held:
-            yield _rows(group, ids, held, sequence)
+            yield _rows(group, number, ids, held, sequence)[0]
 
     return dealt.mapInArrow(run, PIECES)

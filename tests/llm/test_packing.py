@@ -75,6 +75,22 @@ def test_query_matches_plain_tokens(spark):
     assert P.packed(df.limit(0), public_tokenizers.path("byte_bpe_50k.tiktoken")).count() == 0
 
 
+def test_turns_and_very_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(P, "TURN_TOKENS", 3000)
+    docs = [(i, "word " * (i % 40)) for i in range(300)] + [(400, "long text here " * 60_000)] + [(401, "same row")] * 200
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = P.packed(df, public_tokenizers.path("byte_bpe_50k.tiktoken"), sequence=256, group_docs=1000).collect()
+    fast = P.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    assert sum(r.length for r in got) == sum(len(fast(t)) + 1 for _, t in docs)
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for v in by.values():
+        v.sort()
+        assert [o for o, _ in v] == [sum(n for _, n in v[:i]) for i in range(len(v))]
+        assert padding([(0, 0, sum(n for _, n in v))], 256) == 0
+
+
 def test_added_tokens_as_in_an_unmodified_tokenizer():
     from tokenizers import Tokenizer
 
