@@ -12,14 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import WORD
+from quillmark.llm.common import WORD, written
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
 #: A target is at most so many times its source's size.
 MAX_REPEAT = 3
-#: Parts of a bucket of documents of one source and like size.
-SLICES = 32
+#: Parts of a bucket of documents of one source and like size: a task ranks the rows of some parts.
+SLICES = 1024
 
 
 def word_count(text: Column) -> Column:
@@ -66,24 +66,27 @@ def with_copies(
     max_repeat: int = MAX_REPEAT,
     seed: int = 17,
     tie: Column | None = None,
+    size: Column | None = None,
 ) -> DataFrame:
     """docs: (doc_id, text, source, ...), all columns kept. Adds size, source_size, target and copies.
 
     Null texts have size 0; null is a source of its own, the last one. Of rows with the same
     source, size and doc_id, `tie` orders the one before the other (default: they are alike).
-    Empty tables give empty results. Columns of the input whose names begin with `_m_` are not kept.
+    Null ids come last. size: a column that has the words of a row already counted. Empty tables
+    give empty results. Columns of the input whose names begin with `_m_` are not kept.
     """
     bucket = F.expr("length(bin(_m_size)) * 8L + (shiftright(_m_size, greatest(length(bin(_m_size)) - 4, 0)) & 7L)")
-    cut = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 2), 16, 10)
+    cut = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 3), 16, 10)
     rows = (
-        docs.withColumn("_m_size", word_count(F.col("text")))
+        docs.withColumn("_m_size", word_count(F.col("text")) if size is None else size)
         .withColumn("_m_skey", source_key(F.col("source")))
         .withColumn("_m_bucket", bucket)
         .withColumn("_m_slice", cut.cast("long") % SLICES)
         .withColumn("_m_tie", F.lit(0) if tie is None else tie)
     )
     keys = ["_m_skey", "_m_bucket", "_m_slice"]
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("_m_size").alias("size"))
+    # Read twice, for the targets and for the ranks; at most a row a part.
+    counts = written(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("_m_size").alias("size")), "mixing-counts")
     rates = targets(counts.select(F.col("_m_skey").alias("skey"), "size"), weights, max_repeat)
     earlier = Window.partitionBy("_m_skey").orderBy("_m_bucket", "_m_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -91,7 +94,7 @@ def with_copies(
         .drop("n", "size")
         .join(rates.select(F.col("skey").alias("_m_skey"), F.col("source_size").alias("_m_ss"), F.col("target").alias("_m_target"), F.col("rate").alias("_m_rate")), "_m_skey")
     )
-    inside = Window.partitionBy(*keys).orderBy("_m_size", "doc_id", "_m_tie")
+    inside = Window.partitionBy(*keys).orderBy("_m_size", F.asc_nulls_last("doc_id"), "_m_tie")
     rank = F.col("_m_start") + F.row_number().over(inside) - 1
     u = offset(F.col("_m_skey"), seed)
     up = F.floor((F.col("_m_rank") + 1).cast("double") * F.col("_m_rate") + u)
@@ -112,8 +115,18 @@ def with_copies(
     )
 
 
+def sized(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, words) of docs, written: texts are read once, whatever follows."""
+    return written(docs.select("doc_id", "source", word_count(F.col("text")).alias("words")), "mixing-sizes")
+
+
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each row of docs as often as it was drawn, with the columns of docs."""
+    """The mix itself: each row of docs as often as it was drawn, with the columns of docs.
+
+    Rows that share an id count one by one, ordered by hashes of their texts. Texts without words
+    (null, empty) have size 0 and are drawn at their source's rate like all others. An empty table
+    gives an empty result; no name of a column is reserved.
+    """
     drawn = with_copies(docs.select("*", F.struct("*").alias("_row")).select("doc_id", "text", "source", "_row"), tie=F.xxhash64("text"), **options)
     times = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
     return drawn.where("copies > 0").select("_row", times.alias("_copy")).select("_row.*")
