@@ -4,7 +4,10 @@ A walk reads a text with coins that all texts share: at each step it notes the c
 stands on, and the step's coin for that character says whether it moves on. After an edit two
 walks soon fall in step again, so texts at a small edit distance have embeddings at a small
 Hamming distance. A fingerprint is the embedding at sampled steps, SAMPLES in each octave of
-steps, for the last OCTAVES octaves. Likeness weighs the samples by the steps they stand for.
+steps and all steps of the first octaves. Likeness weighs the samples by the steps they stand for.
+
+Near classes come from bands of sampled symbols: fingerprints that share a band are candidates,
+which are verified by their likeness; no link between members of a band is lost (see grouped).
 """
 
 from __future__ import annotations
@@ -15,22 +18,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import small_batches, written
+from quillmark.llm.common import hot_keys, hot_lookup, small_batches, written
 from quillmark.llm.components import components
+from quillmark.llm.grouped import linked
 
-SAMPLES = 32
-OCTAVES = 4
+SAMPLES = 40
 CLASSES = 16
 #: Coins repeat after so many steps; a character is read for MOST steps at most.
 PERIOD = 1 << 16
 MOST = 8
 BLOCK = PERIOD // MOST
 PAD = "-"
-#: Symbols of a band; bands are cut from the samples of the last two octaves.
-BAND = 8
+#: Symbols of a band (of octaves with fewer than SAMPLES symbols, SHORT), cut from the last BANDED octaves.
+BAND, SHORT = 8, 4
+BANDED = 3
 NEAR = 0.8
 
 _made: dict[str, list] = {}
@@ -53,14 +58,29 @@ def _coins() -> list[list[int]]:
     return _made["coins"]
 
 
+def octave_size(octave: int) -> int:
+    return min(SAMPLES, 1 << octave)
+
+
 def _samples(octave: int) -> np.ndarray:
+    """Sampled steps of an octave, sorted. Octave k holds the steps from 2^k - 1 to 2^(k+1) - 2."""
     key = f"samples{octave}"
     if key not in _made:
         rng = random.Random(octave)
-        _made[key] = np.array(sorted(rng.randrange(1 << octave, 2 << octave) for _ in range(SAMPLES)), dtype=np.int64)
+        every = octave_size(octave) == 1 << octave
+        _made[key] = np.array(sorted(range(1 << octave) if every else (rng.randrange(1 << octave) for _ in range(SAMPLES))), dtype=np.int64) + (1 << octave) - 1
     return _made[key]
 
 
+def _plan(top: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sampled steps and weights of the octaves from top down to the first."""
+    key = f"plan{top}"
+    if key not in _made:
+        octaves = range(top, -1, -1)
+        _made[key] = [np.concatenate([_samples(k) for k in octaves]), np.concatenate([np.full(octave_size(k), 2.0**k / octave_size(k)) for k in octaves])]
+    return tuple(_made[key])
+
+
 def classes(text: str) -> np.ndarray:
     """The class of each code point, as the embedding notes it."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
@@ -83,42 +103,46 @@ def walk(symbols: np.ndarray, start: int = 0) -> np.ndarray:
     return np.concatenate([*found, np.array([base + step], dtype=np.int64)])
 
 
+_DIGITS = np.frombuffer(b"0123456789abcdef", dtype=np.uint8)
+
+
 def fingerprint(symbols: np.ndarray, steps: np.ndarray) -> str:
-    """The last octave as two hex digits, then the samples of OCTAVES octaves, the last first."""
+    """The last octave as two hex digits, then the samples of all octaves, the last first.
+
+    A text without characters has the one octave of a single step that it doesn't take.
+    """
     end = int(steps[-1])
-    if not len(symbols):
-        return "00" + PAD * (SAMPLES * OCTAVES)
-    top = end.bit_length() - 1
-    out = []
-    for octave in range(top, top - OCTAVES, -1):
-        if octave < 0:
-            out.append(PAD * SAMPLES)
-            continue
-        at = _samples(octave)
-        place = np.searchsorted(steps, at, "right") - 1
-        out += [f"{symbols[p]:x}" if s < end else PAD for p, s in zip(place.tolist(), at.tolist(), strict=True)]
-    return f"{top:02x}" + "".join(out)
+    top = max(1, end).bit_length() - 1
+    at, _ = _plan(top)
+    out = np.full(len(at), ord(PAD), dtype=np.uint8)
+    taken = at < end
+    out[taken] = _DIGITS[symbols[np.searchsorted(steps, at[taken], "right") - 1]]
+    return f"{top:02x}" + out.tobytes().decode()
 
 
-def likeness(a: str, b: str) -> float:
+def _rows_of(prints: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints as rows of one matrix, octaves in line, and the columns' weights."""
+    top = max(int(x[:2], 16) for x in prints)
+    _, weights = _plan(top)
+    out = np.full((len(prints), len(weights)), ord(PAD), dtype=np.uint8)
+    for row, x in zip(out, prints, strict=True):
+        row[len(weights) - len(x) + 2 :] = np.frombuffer(x[2:].encode(), dtype=np.uint8)
+    return out, weights
+
+
+def likenesses(one: np.ndarray, others: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Share of the steps, of those that either walk takes, at which the embeddings agree."""
+    there = (others != ord(PAD)) | (one != ord(PAD))
+    seen = there @ weights
+    same = ((others == one) & there) @ weights
+    return np.where(seen > 0, same / np.maximum(seen, 1e-300), 1.0)
+
+
+def likeness(a: str, b: str) -> float:
     if a == b:
         return 1.0
-    tops = [int(x[:2], 16) for x in (a, b)]
-    same = seen = 0.0
-    for octave in range(max(tops), max(0, max(tops) - OCTAVES + 1) - 1, -1):
-        parts = []
-        for x, top in zip((a, b), tops, strict=True):
-            at = 2 + (top - octave) * SAMPLES
-            parts.append(PAD * SAMPLES if octave > top else x[at : at + SAMPLES])
-        if "" in parts:
-            continue
-        weight = float(1 << octave) / SAMPLES
-        for p, q in zip(*parts, strict=True):
-            if p != PAD or q != PAD:
-                seen += weight
-                same += weight * (p == q)
-    return same / seen if seen else 0.0
+    m, weights = _rows_of([a, b])
+    return float(likenesses(m[0], m[1:], weights)[0])
 
 
 class Printed:
@@ -150,6 +174,14 @@ def _result(own: Printed, following: Printed) -> tuple:
     return len(own.text), digest, own.print, edited, likeness(own.print, edited), likeness(own.print, following.print)
 
 
+def _shrunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts travel compressed."""
+    pack = zstandard.ZstdCompressor(level=1, write_content_size=True).compress
+    for b in batches:
+        texts = pa.array([pack(t.as_py().encode("utf-8", "surrogatepass")) for t in b.column(2)], pa.binary())
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), texts], ["doc_id", "h", "text"])
+
+
 def with_edits(docs: DataFrame) -> DataFrame:
     """docs: (doc_id, text); other columns are not read. A row per row, see RESULT.
 
@@ -163,7 +195,8 @@ def with_edits(docs: DataFrame) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     order = [F.desc_nulls_last("doc_id"), F.asc("h")]
-    dealt = rows.withColumn("h", F.xxhash64("text")).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    small = rows.withColumn("h", F.xxhash64("text")).select("doc_id", "h", "text").mapInArrow(_shrunk, "doc_id long, h long, text binary")
+    dealt = small.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -176,10 +209,11 @@ def with_edits(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([*head, *(pa.array(c, k) for c, k in zip(cols, KINDS, strict=True))], ["kind", "part", "text", "doc_id", *NAMES])
 
         before: tuple[int | None, Printed] | None = None
+        unpack = zstandard.ZstdDecompressor().decompress
         for b in batches:
             found = []
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                now = Printed(text.as_py())
+                now = Printed(unpack(text.as_py()).decode("utf-8", "surrogatepass"))
                 if before is None:
                     yield out("first", [(doc_id, *[None] * 6)], [now.text])
                 else:
@@ -209,28 +243,71 @@ def with_edits(docs: DataFrame) -> DataFrame:
     return done.where("kind = 'row'").select("doc_id", *NAMES).unionByName(ended)
 
 
+def _stretch(fingerprint: Column, octave: Column, begins: Column, wide: Column):
+    return lambda n: F.concat_ws("/", octave.cast("string"), n.cast("string"), fingerprint.substr(begins + n * wide, wide))
+
+
+def bands(fingerprint: Column) -> Column:
+    """Keys of a fingerprint: stretches of the samples of its last octaves, without those that
+    hold steps that it doesn't take."""
+    top = F.conv(F.substring(fingerprint, 1, 2), 16, 10).cast("int")
+    sizes = F.expr(f"transform(sequence(0, 63), k -> least({SAMPLES}, cast(pow(2, least(k, 20)) as int)))")
+    # Octave top - i begins behind the larger ones.
+    keys = []
+    for i in range(BANDED):
+        octave = top - i
+        begins = F.lit(3)
+        for j in range(i):
+            begins = begins + F.element_at(sizes, F.greatest(top - j, F.lit(0)) + 1)
+        size = F.element_at(sizes, F.greatest(octave, F.lit(0)) + 1)
+        wide = F.least(F.when(size < SAMPLES, F.lit(SHORT)).otherwise(F.lit(BAND)), size)
+        cut = F.transform(F.sequence(F.lit(0), F.floor(size / wide).cast("int") - 1), _stretch(fingerprint, octave, begins, wide))
+        keys.append(F.when(octave >= 0, cut).otherwise(F.array().cast("array<string>")))
+    return F.transform(F.filter(F.concat(*keys), lambda k: ~F.contains(k, F.lit(PAD))), lambda k: F.xxhash64(k))
+
+
 def near_classes(prints: DataFrame, least: float = NEAR) -> DataFrame:
-    """prints: (doc_id, fingerprint). Adds class_id, the smallest doc_id of the near class.
+    """prints: (fingerprint, ...), written. Returns (node, fingerprint, root) of the fingerprints that
+    are linked to another: root is the mark of their class.
 
-    Equal fingerprints are one node. A node is indexed under bands of sampled symbols; in each
-    band every node meets the band's smallest one only, and the pair counts if their likeness
-    is `least` or more, so no band emits all its pairs.
+    Equal fingerprints are one node. Nodes that share a band and have a likeness of `least` or
+    more are linked; a class is what links connect.
     """
-    nodes = written(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")).withColumn("node", F.xxhash64("fingerprint")), "edit-nodes")
-    bands = [F.concat(F.substring("fingerprint", 1, 2), F.lit(f"/{at}/"), F.substring("fingerprint", 3 + at, BAND)) for at in range(0, 2 * SAMPLES, BAND)]
-    keyed = nodes.select("node", "fingerprint", F.explode(F.array(*bands)).alias("band"))
-    heads = written(keyed.groupBy("band").agg(F.min(F.struct("node", "fingerprint")).alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "head"), "edit-heads")
-    written_keys = written(keyed, "edit-bands")
-    pairs = written_keys.join(heads, "band").where("node <> head.node").select("node", "fingerprint", F.col("head.node").alias("other"), F.col("head.fingerprint").alias("theirs")).distinct()
+    nodes = written(prints.select("fingerprint").distinct().withColumn("node", F.xxhash64("fingerprint")), "edit-nodes")
+    keyed = written(nodes.select(F.explode(F.array_distinct(bands(F.col("fingerprint")))).alias("key"), "node"), "edit-bands")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = [likeness(x, y) >= least for x, y in zip(b.column(1).to_pylist(), b.column(3).to_pylist(), strict=True)]
-            f = b.filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([f.column(0), f.column(2)], ["a", "b"])
-
-    roots = components(pairs.mapInArrow(verify, "a long, b long"))
-    marked = written(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "edit-marked")
-    least_of = written(marked.groupBy("root").agg(F.min("first").alias("class_id")), "edit-classes")
-    by = written(marked.join(least_of, "root").select("fingerprint", "class_id"), "edit-by")
-    return prints.join(by, "fingerprint")
+            near = [likeness(x, y) >= least for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            yield b.select([0, 1]).filter(pa.array(near, pa.bool_()))
+
+    def check(pairs: DataFrame) -> DataFrame:
+        with_prints = pairs
+        for side in "ab":
+            of = nodes.select(F.col("node").alias(side), F.col("fingerprint").alias(f"{side}_print"))
+            with_prints = hot_lookup(with_prints, of, [side], ["a", "b"], hot=hot_keys(pairs, [side]))
+        return with_prints.select("a", "b", "a_print", "b_print").mapInArrow(verify, "a long, b long")
+
+    def load(rows: DataFrame) -> DataFrame:
+        return rows.join(nodes, "node").select(*rows.columns, "fingerprint")
+
+    def compare(payload: list[pa.Array], asks: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        m, weights = _rows_of(payload[0].to_pylist())
+        hits = [there[likenesses(m[i], m[there], weights) >= least] for i in asks]
+        return np.repeat(asks, [len(x) for x in hits]), np.concatenate(hits)
+
+    return nodes.join(components(linked(keyed, check, load, compare, "edit")), "node")
+
+
+def with_classes(rows: DataFrame, least: float = NEAR) -> DataFrame:
+    """rows: (doc_id, fingerprint, ...), written. Adds class_id, the smallest doc_id of the near class, and
+    class_rows, its number of rows. Null ids are larger than all others."""
+    roots = written(near_classes(rows.select("fingerprint"), least).select("fingerprint", "root"), "edit-roots")
+    each = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    each = written(each.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", F.xxhash64("fingerprint"))).select("fingerprint", "root", "first", "n"), "edit-each")
+    of = each.groupBy("root").agg(F.min("first").alias("class_id"), F.sum("n").alias("class_rows"))
+    several = written(each.join(of.where("class_rows > 1"), "root").select(F.xxhash64("fingerprint").alias("_node"), "class_id", "class_rows"), "edit-several")
+    keyed = rows.withColumn("_node", F.xxhash64("fingerprint"))
+    out = hot_lookup(keyed, several, ["_node"], ["doc_id"]).drop("_node")
+    alone = F.col("class_rows").isNull()
+    return out.withColumn("class_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id"))).withColumn("class_rows", F.coalesce("class_rows", F.lit(1)))

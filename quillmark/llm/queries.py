@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmark.llm import ann, edits, licences, mixing, packing, simhash, substrings, toxicity, urls, warc
+from quillmark.llm.common import written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,11 +46,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edits.with_edits(_table(spark, sf_dir, "documents"))
+    return edits.with_classes(written(edits.with_edits(_table(spark, sf_dir, "documents")), "edits"))
 
 
 def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.judged(_table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("words")
+    return urls.judged(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +59,7 @@ def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = mixing.with_copies(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    got = mixing.with_copies(mixing.sized(_table(spark, sf_dir, "documents")), size=F.col("words"))
     return got.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
@@ -102,7 +103,7 @@ l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER b, 0.0)) / (s
     FROM w WINDOW b AS (ORDER BY cap / weight, skey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 t AS (SELECT skey, source_size, least(cap, max(level) OVER () * weight) AS target FROM l),
 o AS (SELECT *, row_number() OVER (PARTITION BY skey ORDER BY length(bin(size)) * 8 + ((size >> greatest(length(bin(size)) - 4, 0)) & 7),
-    ('0x' || substr(md5(doc_id::VARCHAR), 1, 2))::INT % 32, size, doc_id) - 1 AS place, ('0x' || substr(md5('17/' || skey), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM d),
+    ('0x' || substr(md5(doc_id::VARCHAR), 1, 3))::INT % 1024, size, doc_id) - 1 AS place, ('0x' || substr(md5('17/' || skey), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM d),
 j AS (SELECT o.*, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate FROM o JOIN t USING (skey))
 SELECT doc_id, size, source_size, target, (least(floor((place + 1)::DOUBLE * rate + u) - floor(place::DOUBLE * rate + u), 3) * size)::BIGINT AS taken FROM j""",
 }

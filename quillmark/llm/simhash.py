@@ -248,15 +248,21 @@ def hex_digits(name: str) -> Column:
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs, all columns, one for each group: that with the smallest doc_id.
 
-    Fingerprints are too coarse at this similarity: groups are what pairs connect whose
-    shingle sets have a Jaccard similarity of `percent` or more. See shingles.
+    Fingerprints are too coarse at this similarity: groups are what pairs connect whose shingle
+    sets have a Jaccard similarity of `percent` or more. See shingles. Texts without words (null,
+    empty) are one group. Null ids are larger than all others; of rows that share the smallest id
+    of a group one stays, by the hashes of texts and then of whole rows. Of rows that are alike in
+    all columns one stays. An empty table gives an empty result; no name of a column is reserved.
     """
     from quillmark.llm import shingles
 
-    found = shingles.with_components(docs, words, percent)
-    kept = found.where("doc_id <=> component_id and text_hash <=> first_hash").select("doc_id", F.col("text_hash").alias("_s_hash")).distinct()
-    keyed = docs.withColumn("_s_hash", F.xxhash64("text"))
-    match = keyed["doc_id"].cast("long").eqNullSafe(kept["doc_id"]) & (keyed["_s_hash"] == kept["_s_hash"])
-    rows = keyed.join(kept, match, "left_semi")
-    numbered = rows.withColumn("_s_n", F.row_number().over(Window.partitionBy("doc_id", "_s_hash").orderBy(F.lit(0))))
-    return numbered.where("_s_n = 1").select(*docs.columns)
+    key = lambda i, h: [F.coalesce(i, F.lit(0)).alias("id"), i.isNull().alias("none"), F.coalesce(h, F.lit(0)).alias("hash")]
+    found = shingles.with_components(docs.select("doc_id", "text"), words, percent)
+    kept = found.where("doc_id <=> component_id and text_hash <=> first_hash").select(*key(F.col("doc_id"), F.col("text_hash"))).distinct()
+    hashable = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), tie.alias("tie"), *key(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))))
+    # The join and the window deal rows by the same columns: texts move once.
+    alike = rows.join(kept, ["id", "none", "hash"], "left_semi")
+    numbered = alike.withColumn("n", F.row_number().over(Window.partitionBy("id", "none", "hash").orderBy("tie")))
+    return numbered.where("n = 1").select("row.*")

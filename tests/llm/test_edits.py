@@ -4,6 +4,7 @@ import random
 import numpy as np
 
 from quillmark.llm import edits as X
+from quillmark.llm import grouped
 
 
 def test_walk_continues_where_it_was_cut():
@@ -56,12 +57,61 @@ def test_query_matches_brute_force(spark):
     assert X.with_edits(df.limit(1)).count() == 1
 
 
-def test_near_classes(spark):
-    rng = random.Random(4)
-    base = ["".join(rng.choice("abcdefgh nopqrst") for _ in range(1500)) for _ in range(5)]
-    docs = [(i, b) for i, b in enumerate(base)] + [(10 + i, b) for i, b in enumerate(base)] + [(20 + i, b[:700] + "q" + b[700:]) for i, b in enumerate(base)]
-    rows = [(d, X.Printed(t).print) for d, t in docs]
-    got = {r.doc_id: r.class_id for r in X.near_classes(spark.createDataFrame(rows, "doc_id long, fingerprint string")).collect()}
-    assert all(got[10 + i] == got[i] for i in range(5))
-    assert len({got[i] for i in range(5)}) == 5
-    assert sum(got[20 + i] == got[i] for i in range(5)) >= 4
+def classes_of(pairs, n):
+    root = list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in pairs:
+        root[find(a)] = find(b)
+    return [find(i) for i in range(n)]
+
+
+def family(seed, n, length, edits):
+    rng = random.Random(seed)
+    base = [rng.choice("abcdefgh nopqrst") for _ in range(length)]
+    out = []
+    for _ in range(n):
+        t = list(base)
+        for _ in range(rng.randint(0, edits)):
+            at = rng.randrange(len(t))
+            t[at : at + rng.randint(0, 2)] = rng.choice("xyzuvw") * rng.randint(0, 2)
+        out.append("".join(t))
+    return out
+
+
+def test_near_classes_against_all_pairs(spark, monkeypatch):
+    """Families of edits whose likenesses lie on both sides of the threshold, and their recall."""
+    texts = [t for k in range(12) for t in family(k, 14, 1500, 40)] + [t for k in range(12, 20) for t in family(k, 8, 60, 3)] + ["", "a", "ab", "b"]
+    prints = [X.Printed(t).print for t in texts]
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if X.likeness(prints[i], prints[j]) >= X.NEAR]
+    far = [(i, j) for i in range(len(texts)) for j in range(i) if 0.5 < X.likeness(prints[i], prints[j]) < X.NEAR]
+    assert len(near) > 200 and len(far) > 200
+    rows = spark.createDataFrame(list(enumerate(prints)), "doc_id long, fingerprint string")
+    for few, members in ((8, 1024), (2, 4)):
+        monkeypatch.setattr(grouped, "FEW", few)
+        monkeypatch.setattr(grouped, "MEMBERS", members)
+        got = {r.doc_id: r.class_id for r in X.with_classes(rows).collect()}
+        want = classes_of(near, len(texts))
+        # No class joins what links do not connect, and at least 95 % of the links are kept.
+        assert all(want[i] == want[got[i]] for i in range(len(texts)))
+        assert sum(got[i] == got[j] for i, j in near) >= 0.95 * len(near)
+
+
+def test_classes_of_copies_and_nulls(spark):
+    p, q = X.Printed("one text " * 9).print, X.Printed("quite another " * 9).print
+    rows = [(3, p), (2, p), (None, p), (None, q), (7, X.Printed("").print)]
+    df = spark.createDataFrame(rows, "doc_id long, fingerprint string").selectExpr("*", "5 as node")
+    got = sorted(((r.doc_id, r.class_id, r.class_rows, r.node) for r in X.with_classes(df).collect()), key=str)
+    assert got == sorted([(3, 2, 3, 5), (2, 2, 3, 5), (None, 2, 3, 5), (None, None, 1, 5), (7, 7, 1, 5)], key=str)
+    assert X.with_classes(df.limit(0)).count() == 0
+
+
+def test_openings_count(spark):
+    """A change of the first characters shows in the fingerprint."""
+    text = "".join(random.Random(5).choice("abcdefgh nopqrst") for _ in range(5000))
+    a, b = X.Printed(text).print, X.Printed("QQQQQQQQ" + text[8:]).print
+    assert a != b and 0.9 < X.likeness(a, b) < 1

@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline
-from quillmark.llm import shingles, simhash
+from quillmark.llm import grouped, simhash
 
 
 def brute(docs):
@@ -56,8 +56,19 @@ def test_stage_is_exact(spark):
 
 
 def test_blocks_lose_no_pair(spark, monkeypatch):
-    monkeypatch.setattr(shingles, "BLOCK", 8)
+    monkeypatch.setattr(grouped, "MEMBERS", 8)
+    monkeypatch.setattr(grouped, "FEW", 2)
     docs = documents()
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert sorted(r.doc_id for r in simhash.one_of_each(df).collect()) == brute(docs)
     assert simhash.one_of_each(df.limit(0)).count() == 0
+
+
+def test_names_of_columns_nulls_and_repeated_rows(spark):
+    rows = [(1, "a b c d e f", 5, "x"), (1, "a b c d e f", 5, "x"), (1, "a b c d e f", 6, "y"), (None, "a b c d e f", 1, "z"), (None, "lone words that stay", 2, "z"), (None, None, 3, None), (4, "", 4, "q")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _s_hash long, `n.x` string").selectExpr("*", "1 as id", "2 as tie", "3 as row")
+    got = simhash.one_of_each(df)
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == [(1, "a b c d e f"), (4, ""), (None, "lone words that stay")]
+    again = [r for r in simhash.one_of_each(df.repartition(5)).collect() if r.doc_id == 1]
+    assert again == [r for r in got.collect() if r.doc_id == 1]
