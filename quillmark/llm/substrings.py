@@ -9,7 +9,7 @@ are built of what later documents repeat, once, and sent where it is repeated:
    anchors, so only anchors of two documents or more can lie in a repeated window.
 3. Windows around such anchors are hashed; each repeated one belongs to the smallest document
    that has it. A document's own windows, in maximal spans, are its part of the reference.
-4. Reference spans are dealt to shards of bounded size. For each shard a generalised suffix
+4. Reference spans are dealt to shards of bounded size, long documents to several. For each shard a generalised suffix
    automaton is built, and the spans of later documents that repeat it stream through: their
    matching statistics give the maximal matches above the threshold, which are removed. The
    automaton goes to as many tasks as the shard's spans need, so a passage that very many
@@ -160,18 +160,22 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def deduplicated(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_words: int = SHARD_WORDS, stream_words: int = STREAM_WORDS, keep_untouched: bool = False) -> DataFrame:
-    """docs: (doc_id, text, ...). All columns of docs and _w_words, _w_removed (longs) and _w_sha
-    (SHA-256 of the kept words, joined by one space), a row per row.
+    """docs: (doc_id, text, ...). Returns (row, text, words, removed, sha), a row per row: row is a
+    struct of all columns of docs but text, whatever their names, sha the SHA-256 of the kept words,
+    joined by one space.
 
     text is the kept words of rows that lost some; of the others it is null, or unchanged
     with keep_untouched. A null text has no words. Null ids count as larger than all others.
     Rows that share an id do not remove each other's words, also not if they are equal.
-    Empty tables give empty results. Columns of docs that begin with _w_ are not kept.
+    Empty tables give empty results.
     """
     small_batches(docs.sparkSession)
-    own = [c for c in docs.columns if not c.startswith("_w_")]
-    place = own.index("text")
-    rows = docs.select(*own).withColumn("_w_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))).withColumn("_w_key", F.xxhash64("doc_id", F.col("text"), F.length("text")))
+    text = F.col("text").cast("string")
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    # 128 bits tell rows apart, but for those that are alike in id and text.
+    key = F.unhex(F.md5(F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.when(text.isNull(), "n").otherwise("t"), text)))
+    rows = docs.select(F.struct(*rest).alias("row"), text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("_w_id"), key.alias("_w_key"))
+    own, place = ["row", "text"], 1
 
     def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -185,7 +189,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, sh
             kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c, k) for c, k in zip(out, kinds, strict=True))], ["id", "key", "x", "y", "gs", "ps"])
 
-    first = written(rows.select("_w_id", "_w_key", "text").mapInArrow(anchored, "id long, key long, x long, y long, gs array<long>, ps array<int>"), "sub-anchors")
+    first = written(rows.select("_w_id", "_w_key", "text").mapInArrow(anchored, "id long, key binary, x long, y long, gs array<long>, ps array<int>"), "sub-anchors")
     least = first.where("size(gs) > 0").groupBy("x", "y").agg(F.min(F.struct("id", "key")).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select("x", "y", "least")
     # Rows of the least id with other keys only differ in their white space; they are kept apart.
     marked = salted_lookup(first.where("size(gs) > 0"), least, ["x", "y"], ["id", "key"]).withColumn("copy", F.coalesce(F.col("id") > F.col("least.id"), F.lit(False)))
@@ -208,7 +212,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, sh
                 elif copy is None:
                     row = (text if keep_untouched else None, len(found), 0, hashlib.sha256(b" ".join(found)).hexdigest(), None, None)
                 else:
-                    p = np.array(ps.as_py(), dtype=np.int64)
+                    p = ps.values.to_numpy().astype(np.int64)
                     near = np.zeros(len(found) + 1, dtype=np.int64)
                     np.add.at(near, np.maximum(0, p - (window - anchor)), 1)
                     np.add.at(near, np.minimum(p, len(found) - window) + 1, -1)
@@ -230,34 +234,34 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, sh
     done = done.withColumn("text", F.when(F.col("_w_removed") > 0, F.lit("")).otherwise(F.col("text")))
     open_ = seen.where("_w_sha is null")
     each = open_.select("_w_id", "_w_key", F.explode(F.arrays_zip("_w_starts", "_w_hashes")).alias("a")).select(F.col("_w_id").alias("id"), F.col("_w_key").alias("key"), F.col("a._w_starts").alias("p"), F.col("a._w_hashes").alias("w"))
-    owners = written(each.groupBy("w").agg(F.min("id").alias("owner"), F.max("id").alias("hi")).where("owner < hi").select("w", "owner"), "sub-owners")
+    first_of = each.groupBy("w").agg(F.min(F.struct("id", "p")).alias("o"), F.max("id").alias("hi")).where("o.id < hi")
+    # A long owner's windows are dealt to several shards, by where they start in it.
+    owners = written(first_of.select("w", F.col("o.id").alias("owner"), F.floor(F.col("o.p") / shard_words).cast("long").alias("chunk")), "sub-owners")
     shards = max(1, math.ceil(owners.count() / shard_words))
-    owned = each.join(owners, "w").groupBy("key").agg(F.collect_list(F.struct("p", "owner")).alias("ws"))
+    owned = each.join(owners, "w").groupBy("key").agg(F.collect_list(F.struct("p", "owner", "chunk")).alias("ws"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in range(7)]
             for own_id, key, text, ws in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
                 found = split(text.as_py())
                 p = ws.values.field(0).to_numpy()
-                o = ws.values.field(1).to_numpy()
-                order = np.lexsort((o, p))
-                p, o = p[order], o[order]
-                fresh = np.concatenate([[True], p[1:] != p[:-1]]) if len(p) else np.zeros(0, bool)
-                p, o = p[fresh], o[fresh]
-                edge = np.flatnonzero(np.concatenate([[True], (np.diff(p) != 1) | (o[1:] != o[:-1]), [True]]))
+                o = np.stack([ws.values.field(i).to_numpy() for i in (1, 2)], axis=1)
+                p, fresh = np.unique(p, return_index=True)
+                o = o[fresh]
+                edge = np.flatnonzero(np.concatenate([[True], (np.diff(p) != 1) | (o[1:] != o[:-1]).any(1), [True]]))
                 for i, j in zip(edge[:-1], edge[1:], strict=True):
                     start, end = int(p[i]), int(p[j - 1]) + window
-                    owner = int(o[i])
+                    owner, chunk = o[i].tolist()
                     words = found[start:end]
-                    for col, v in zip(out, (owner, int(owner != own_id), key, start, len(words), b" ".join(words)), strict=True):
+                    for col, v in zip(out, (owner, chunk, int(owner != own_id), key, start, len(words), b" ".join(words)), strict=True):
                         col.append(v)
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["owner", "kind", "key", "start", "n", "words"])
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["owner", "chunk", "kind", "key", "start", "n", "words"])
 
     texts = open_.select(F.col("_w_id").alias("id"), F.col("_w_key").alias("key"), "text").join(owned, "key").select("id", "key", "text", "ws")
-    spans = texts.mapInArrow(cut, "owner long, kind int, key long, start long, n long, words binary")
-    spans = written(spans.withColumn("shard", F.pmod(F.xxhash64("owner"), F.lit(shards))), "sub-spans")
+    spans = texts.mapInArrow(cut, "owner long, chunk long, kind int, key binary, start long, n long, words binary")
+    spans = written(spans.withColumn("shard", F.pmod(F.xxhash64("owner", "chunk"), F.lit(shards))), "sub-spans")
     copies_of = spans.where("kind = 1").groupBy("shard").agg(F.sum("n").alias("all")).select("shard", F.ceil(F.col("all") / stream_words).cast("int").alias("parts"))
     copies_of = written(copies_of, "sub-shards")
     sized = spans.join(copies_of, "shard")
@@ -267,7 +271,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, sh
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, automaton = None, Automaton()
         for b in batches:
-            out: list[list[int]] = [[], [], []]
+            out: list[list] = [[], [], []]
             for shard, part, kind, key, start, words in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if (shard, part) != at:
                     at, automaton = (shard, part), Automaton()
@@ -277,9 +281,10 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, sh
                 for x, y in automaton.spans(words.split(b" "), window):
                     for col, v in zip(out, (key, start + x, start + y), strict=True):
                         col.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["key", "x", "y"])
+            kinds = [pa.binary(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["key", "x", "y"])
 
-    found = dealt.mapInArrow(stream, "key long, x long, y long").groupBy(F.col("key").alias("_w_key")).agg(F.collect_list(F.struct("x", "y")).alias("_w_spans"))
+    found = dealt.mapInArrow(stream, "key binary, x long, y long").groupBy(F.col("key").alias("_w_key")).agg(F.collect_list(F.struct("x", "y")).alias("_w_spans"))
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -305,15 +310,27 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, sh
     own_types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name in own)
     last = open_.select(*own, "_w_key").join(found, "_w_key", "left").select(*own, "_w_spans")
     last = last.mapInArrow(kept, own_types + ", _w_words long, _w_removed long, _w_sha string")
-    return done.select(*last.columns).unionByName(last)
+    return done.select(*last.columns).unionByName(last).select("row", "text", F.col("_w_words").alias("words"), F.col("_w_removed").alias("removed"), F.col("_w_sha").alias("sha"))
 
 
 WINDOWED = ["_w_words", "_w_removed", "_w_sha", "_w_starts", "_w_hashes"]
 
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
-    """docs without repeated spans, with its columns; documents that lose all their words go."""
-    got = deduplicated(docs, keep_untouched=True, **options).where("_w_removed = 0 or _w_removed < _w_words")
-    if "n_chars" in docs.columns:
-        got = got.withColumn("n_chars", F.when(F.col("_w_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return got.select(*docs.columns)
+    """docs without repeated spans, with its columns; documents that lose all their words go.
+
+    A row that keeps words keeps its place, and its n_chars, where there is such a column, follows
+    its text. Null ids, ties, repeated rows and empty tables: see deduplicated. Documents without
+    words (null, empty) lose none and stay.
+    """
+    got = deduplicated(docs, keep_untouched=True, **options).where("removed = 0 or removed < words")
+    lost = F.col("removed") > 0
+    cols = []
+    for f in docs.schema.fields:
+        if f.name == "text":
+            cols.append(F.col("text").cast(f.dataType).alias("text"))
+        elif f.name == "n_chars":
+            cols.append(F.when(lost, F.length("text").cast(f.dataType)).otherwise(F.col("row.n_chars")).alias("n_chars"))
+        else:
+            cols.append(F.col(f"row.`{f.name}`").alias(f.name))
+    return got.select(*cols)

@@ -42,15 +42,16 @@ def corpus(seed, n, words=40):
 def test_matches_brute_force(spark):
     for seed in (1, 2):
         docs = corpus(seed, 60)
-        df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "'x' as key", "1 as p")
+        df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "'x' as key", "1 as p", "2 as `_w_x`", "3 as `row`")
         for options in ({"window": 10, "anchor": 4}, {"window": 10, "anchor": 4, "shard_words": 30, "stream_words": 50}):
-            got = S.deduplicated(df, **options).select("doc_id", "_w_words", "_w_removed", "_w_sha").collect()
+            got = S.deduplicated(df, **options).select("row.doc_id", "words", "removed", "sha").collect()
             assert sorted(map(tuple, got), key=str) == brute(docs, 10)
 
 
 def test_stage_keeps_columns_and_untouched_texts(spark):
     docs = [(1, " ".join(map(str, range(30))) + "\n", 70), (2, "new  words " + " ".join(map(str, range(5, 25))), 5), (3, " ".join(map(str, range(30))), 6), (4, None, None), (5, " as it  is", 9)]
-    df = spark.createDataFrame(docs, "doc_id long, text string, n_chars long")
+    df = spark.createDataFrame(docs, "doc_id long, text string, n_chars long").selectExpr("*", "'k' as `_w_x`", "text as words")
+    assert S.without_repeats(df, window=10, anchor=4).columns == df.columns
     got = {r.doc_id: r for r in S.without_repeats(df, window=10, anchor=4).collect()}
     assert set(got) == {1, 2, 4, 5}
     assert got[1].text == docs[0][1] and got[5].text == " as it  is" and got[4].text is None
