@@ -18,8 +18,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmark.llm.common import hot_keys, hot_lookup, small_batches, written
@@ -243,27 +244,19 @@ def with_edits(docs: DataFrame) -> DataFrame:
     return done.where("kind = 'row'").select("doc_id", *NAMES).unionByName(ended)
 
 
-def _stretch(fingerprint: Column, octave: Column, begins: Column, wide: Column):
-    return lambda n: F.concat_ws("/", octave.cast("string"), n.cast("string"), fingerprint.substr(begins + n * wide, wide))
-
-
-def bands(fingerprint: Column) -> Column:
+def bands(fingerprint: str) -> list[int]:
     """Keys of a fingerprint: stretches of the samples of its last octaves, without those that
     hold steps that it doesn't take."""
-    top = F.conv(F.substring(fingerprint, 1, 2), 16, 10).cast("int")
-    sizes = F.expr(f"transform(sequence(0, 63), k -> least({SAMPLES}, cast(pow(2, least(k, 20)) as int)))")
-    # Octave top - i begins behind the larger ones.
-    keys = []
-    for i in range(BANDED):
-        octave = top - i
-        begins = F.lit(3)
-        for j in range(i):
-            begins = begins + F.element_at(sizes, F.greatest(top - j, F.lit(0)) + 1)
-        size = F.element_at(sizes, F.greatest(octave, F.lit(0)) + 1)
-        wide = F.least(F.when(size < SAMPLES, F.lit(SHORT)).otherwise(F.lit(BAND)), size)
-        cut = F.transform(F.sequence(F.lit(0), F.floor(size / wide).cast("int") - 1), _stretch(fingerprint, octave, begins, wide))
-        keys.append(F.when(octave >= 0, cut).otherwise(F.array().cast("array<string>")))
-    return F.transform(F.filter(F.concat(*keys), lambda k: ~F.contains(k, F.lit(PAD))), lambda k: F.xxhash64(k))
+    top, at, out = int(fingerprint[:2], 16), 2, []
+    for octave in range(top, max(-1, top - BANDED), -1):
+        size = octave_size(octave)
+        wide = min(size, BAND if size == SAMPLES else SHORT)
+        for n in range(size // wide):
+            part = fingerprint[at + n * wide : at + (n + 1) * wide]
+            if PAD not in part:
+                out.append(xxhash.xxh64_intdigest(f"{octave}/{n}/{part}") - (1 << 63))
+        at += size
+    return out
 
 
 def near_classes(prints: DataFrame, least: float = NEAR) -> DataFrame:
@@ -273,8 +266,14 @@ def near_classes(prints: DataFrame, least: float = NEAR) -> DataFrame:
     Equal fingerprints are one node. Nodes that share a band and have a likeness of `least` or
     more are linked; a class is what links connect.
     """
-    nodes = written(prints.select("fingerprint").distinct().withColumn("node", F.xxhash64("fingerprint")), "edit-nodes")
-    keyed = written(nodes.select(F.explode(F.array_distinct(bands(F.col("fingerprint")))).alias("key"), "node"), "edit-bands")
+
+    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = pa.array([bands(x) for x in b.column(0).to_pylist()], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*b.columns, keys], ["fingerprint", "node", "keys"])
+
+    nodes = prints.select("fingerprint").distinct().withColumn("node", F.xxhash64("fingerprint"))
+    nodes = written(nodes.mapInArrow(banded, "fingerprint string, node long, keys array<long>"), "edit-nodes")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -289,14 +288,14 @@ def near_classes(prints: DataFrame, least: float = NEAR) -> DataFrame:
         return with_prints.select("a", "b", "a_print", "b_print").mapInArrow(verify, "a long, b long")
 
     def load(rows: DataFrame) -> DataFrame:
-        return rows.join(nodes, "node").select(*rows.columns, "fingerprint")
+        return rows.join(nodes.select("node", "fingerprint"), "node").select(*rows.columns, "fingerprint")
 
     def compare(payload: list[pa.Array], asks: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         m, weights = _rows_of(payload[0].to_pylist())
         hits = [there[likenesses(m[i], m[there], weights) >= least] for i in asks]
         return np.repeat(asks, [len(x) for x in hits]), np.concatenate(hits)
 
-    return nodes.join(components(linked(keyed, check, load, compare, "edit")), "node")
+    return nodes.join(components(linked(nodes.select("node", "keys"), check, load, compare, "edit")), "node").select("node", "fingerprint", "root")
 
 
 def with_classes(rows: DataFrame, least: float = NEAR) -> DataFrame:

@@ -1,11 +1,11 @@
 """Links between the members of groups that share a key, whatever the sizes of the groups.
 
 A link counts if the operator's check says so; what is wanted is links enough to connect what all
-links would connect. In a group of FEW members or fewer all pairs are checked. In a larger one
-all are checked against HEADS of them, and the head with the most links stands for the group:
-members linked to it need no check among each other. The others are compared with all members,
-in blocks of bounded size. So no pair is lost, and a group of near copies costs as many checks
-as it has members.
+links would connect. In a group of FEW members or fewer all pairs are checked, in a larger one
+all members against one head. Then groups whose members are all connected are done. In each of
+the others the largest connected part stays, and the rest is compared with all members, in
+blocks of bounded size. So no pair is lost, and a group of near copies costs as many checks as it
+has members.
 """
 
 from __future__ import annotations
@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmark.llm.common import hot_lookup, written
+from quillmark.llm.components import components
 
 FEW = 8
-HEADS = 3
 #: Members that meet in one step.
 MEMBERS = 1024
 
@@ -28,36 +28,31 @@ MEMBERS = 1024
 Compare = Callable[[list[pa.Array], np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
-def _pair(x: str, y: str) -> list:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+def linked(nodes: DataFrame, check: Callable[[DataFrame], DataFrame], load: Callable[[DataFrame], DataFrame], compare: Compare, name: str) -> DataFrame:
+    """nodes: (node, keys), written; keys is an array of longs. Returns (a, b), nodes that are linked.
 
-
-def linked(keyed: DataFrame, check: Callable[[DataFrame], DataFrame], load: Callable[[DataFrame], DataFrame], compare: Compare, name: str) -> DataFrame:
-    """keyed: (key, node), distinct and written. Returns (a, b), nodes that are linked.
-
-    check: (a, b), distinct pairs -> those that are linked. load: rows with a node -> the same
-    rows with the columns that compare needs behind them.
+    check: (a, b), distinct pairs, written -> those that are linked. load: rows with a node -> the
+    same rows with the columns that compare needs behind them.
     """
-    heads = [F.min(F.struct(F.xxhash64("node", F.lit(i)), "node"))["node"].alias(f"h{i}") for i in range(HEADS)]
-    groups = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *heads).where("n > 1")
-    met = written(hot_lookup(keyed, written(groups, f"{name}-groups"), ["key"], ["node"]).where("n is not null"), f"{name}-met")
+    keyed = nodes.select("node", F.explode(F.array_distinct("keys")).alias("key"))
+    groups = written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("head")).where("n > 1"), f"{name}-groups")
+    hot = _hot(groups, "n")
+    met = hot_lookup(keyed, groups, ["key"], ["node"], hot=hot).where("n is not null")
     few = met.where(F.col("n") <= FEW).groupBy("key").agg(F.array_sort(F.collect_list("node")).alias("all"))
     few = few.select(F.explode(F.expr("flatten(transform(all, (x, i) -> transform(slice(all, i + 2, size(all)), y -> struct(x as a, y as b))))")).alias("p")).select("p.a", "p.b")
-    many = met.where(F.col("n") > FEW)
-    led = many.select("key", "node", F.posexplode(F.array(*[f"h{i}" for i in range(HEADS)])).alias("i", "head"))
-    led = written(led, f"{name}-led")
-    pairs = few.union(led.where("node <> head").select(*_pair("node", "head"))).distinct()
-    near = written(check(written(pairs, f"{name}-pairs")), f"{name}-near")
-
-    hit = led.select("key", "node", "i", *_pair("node", "head")).join(near.withColumn("near", F.lit(True)), ["a", "b"], "left")
-    hit = hit.withColumn("near", F.col("near").isNotNull() | (F.col("a") == F.col("b")))
-    by = written(hit.groupBy("key", "node").agg(*[F.bool_or(F.col("near") & (F.col("i") == i)).alias(f"n{i}") for i in range(HEADS)]), f"{name}-hits")
-    sums = by.groupBy("key").agg(F.count(F.lit(1)).alias("m"), *[F.count(F.when(F.col(f"n{i}"), 1)).alias(f"c{i}") for i in range(HEADS)])
-    most = F.greatest(*[f"c{i}" for i in range(HEADS)])
-    best = F.array_position(F.array(*[f"c{i}" for i in range(HEADS)]), most).cast("int")
-    blocks = sums.select("key", best.alias("best"), F.ceil(F.col("m") / MEMBERS).cast("int").alias("mb"), F.ceil((F.col("m") - most) / MEMBERS).cast("int").alias("ob")).where("ob > 0")
-    dealt = hot_lookup(by, written(blocks, f"{name}-blocks"), ["key"], ["node"]).where("ob is not null")
-    dealt = written(dealt.select("key", "node", "mb", "ob", (~F.element_at(F.array(*[f"n{i}" for i in range(HEADS)]), F.col("best"))).alias("other")), f"{name}-dealt")
+    many = met.where((F.col("n") > FEW) & (F.col("node") != F.col("head"))).select(F.col("head").alias("a"), F.col("node").alias("b"))
+    near = written(check(written(few.union(many).distinct(), f"{name}-pairs")), f"{name}-near")
+
+    roots = components(near)
+    rooted = written(nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "keys"), f"{name}-rooted")
+    rooted = rooted.select("node", "root", F.explode(F.array_distinct("keys")).alias("key"))
+    parts = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
+    sums = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.sum("c").alias("m"), F.max(F.struct("c", "root")).alias("most"))
+    # In small groups all pairs are known.
+    sums = sums.where((F.col("parts") > 1) & (F.col("m") > FEW)).select("key", F.col("most.root").alias("main"), "m", (F.col("m") - F.col("most.c")).alias("o"))
+    blocks = written(sums.select("key", "main", "m", F.ceil(F.col("m") / MEMBERS).cast("int").alias("mb"), F.ceil(F.col("o") / MEMBERS).cast("int").alias("ob")), f"{name}-blocks")
+    dealt = hot_lookup(rooted, blocks, ["key"], ["node"], hot=hot).where("ob is not null")
+    dealt = written(dealt.select("key", "node", "mb", "ob", (F.col("root") != F.col("main")).alias("other")), f"{name}-dealt")
 
     h = F.xxhash64("node", F.lit(9))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -78,6 +73,12 @@ def linked(keyed: DataFrame, check: Callable[[DataFrame], DataFrame], load: Call
     return near.select("a", "b").union(rows.mapInArrow(run, "a long, b long").where("a <> b"))
 
 
+def _hot(counts: DataFrame, n: str, share: int = 1024) -> DataFrame:
+    """The keys of counts with more than one in `share` of all: fewer than `share` keys."""
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    return counts.where(F.col(n) * share > total).select("key", F.lit(True).alias("_hot"))
+
+
 def tables(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
     """Rows sorted by their first columns, all of a key's rows in one table, many keys in a table."""
     held: list[pa.RecordBatch] = []

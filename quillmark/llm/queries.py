@@ -55,7 +55,7 @@ def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = substrings.deduplicated(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return got.select("doc_id", F.col("_w_words").alias("n_words"), F.col("_w_removed").alias("n_removed"), F.col("_w_sha").alias("kept_sha256"))
+    return got.select("row.doc_id", F.col("words").alias("n_words"), F.col("removed").alias("n_removed"), F.col("sha").alias("kept_sha256"))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
