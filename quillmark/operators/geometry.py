@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,3 +60,21 @@ def trimmed(pixels: np.ndarray, pad: int = TRIM_PAD, tolerance: int = TRIM_TOLER
     if not len(ys):
         return None
     return max(0, int(xs[0]) - pad), max(0, int(ys[0]) - pad), min(wide, int(xs[-1]) + 1 + pad), min(high, int(ys[-1]) + 1 + pad)
+
+
+def trimmed_boxes(images: DataFrame, key: str) -> DataFrame:
+    """(key, x0, y0, x1, y1) of images (key, width, height, pixels): one byte a pixel or several, row
+    by row. Nulls where there is no content, or no picture of that size."""
+    kind = images.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = []
+            for wide, high, raw in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+                whole = raw is not None and wide and high and len(raw) and len(raw) % (wide * high) == 0
+                box = trimmed(np.frombuffer(raw, dtype=np.uint8).reshape(high, wide, -1)) if whole else None
+                found.append(box or (None,) * 4)
+            cols = [pa.array([f[i] for f in found], pa.int32()) for i in range(4)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *cols], [key, "x0", "y0", "x1", "y1"])
+
+    return images.select(key, "width", "height", "pixels").mapInArrow(run, f"`{key}` {kind}, x0 int, y0 int, x1 int, y1 int")
