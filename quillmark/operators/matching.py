@@ -10,6 +10,7 @@ from quillmark.functions import columns as C
 # Fixed values.
 DOI_WEIGHT, TITLE_WEIGHT, AUTHOR_WEIGHT, YEAR_WEIGHT = 100.0, 50.0, 10.0, 5.0
 TITLE_CONFIDENT, MARGIN_CONFIDENT = 0.7, 15.0
+REGISTRANT = r"(10\.\d{4,9}/)"
 
 
 def matchable(registry: DataFrame) -> DataFrame:
@@ -24,12 +25,26 @@ def identity_text(pages: DataFrame, first: int = 3) -> DataFrame:
     return pages.where(F.col("page") <= first).groupBy("doc_id").agg(F.lower(text).alias("text"))
 
 
+def _registry_keys(reg: DataFrame) -> DataFrame:
+    """(id, key, kind, n): what a text may share with a record. Kinds: t title word, a surname without a
+    hyphen, h part of the n-th hyphenated surname, y year, r registrant of the DOI."""
+    part = lambda key, kind, n=F.lit(0): F.struct(key.alias("key"), F.lit(kind).alias("kind"), n.cast("int").alias("n"))
+    plain, joined = F.filter("names", lambda x: ~F.contains(x, F.lit("-"))), F.filter("names", lambda x: F.contains(x, F.lit("-")))
+    parts = F.flatten(F.transform(joined, lambda x, i: F.transform(F.array_distinct(F.filter(F.split(x, "-"), lambda w: w != "")), lambda w: part(w, "h", i))))
+    none = F.array().cast("array<struct<key:string,kind:string,n:int>>")
+    year = F.when(F.col("year").rlike(r"^\d{4}\z"), F.array(part(F.concat(F.lit("y:"), "year"), "y"))).otherwise(none)
+    owner = F.when(F.col("doi").rlike("^" + REGISTRANT), F.array(part(F.concat(F.lit("r:"), F.regexp_extract("doi", REGISTRANT, 1)), "r"))).otherwise(none)
+    every = F.concat(F.transform("tw", lambda w: part(w, "t")), F.transform(plain, lambda w: part(w, "a")), parts, year, owner)
+    return reg.select("id", F.explode(every).alias("k")).select("id", "k.*")
+
+
 def candidates(docs: DataFrame, registry: DataFrame) -> DataFrame:
     """(doc_id, id, ord, doi_hit, title_overlap, score) of every pair that shares anything.
 
     docs (doc_id, text), registry (id, ord, title, doi, authors, year). A record is a candidate
     where it shares a title word, part of a surname, the year or the DOI's registrant with the
-    text: equality joins, whose cost follows the matches and not documents times records.
+    text: one equality join of a text's keys with the registry's, whose hits are added up where
+    they arise. Only texts that print a registrant are read again, for the whole DOI.
     """
     text = docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("text"))
     reg = matchable(registry).select(
@@ -40,33 +55,33 @@ def candidates(docs: DataFrame, registry: DataFrame) -> DataFrame:
         C.normalised_doi(F.col("doi")).alias("doi"),
         C.strip(F.coalesce(F.col("year").cast("string"), F.lit(""))).alias("year"),
     )
-    terms = reg.select("id", F.explode("tw").alias("w")).select("id", "w", F.lit("t").alias("kind"), F.col("w").alias("of"))
-    parts = reg.select("id", F.explode("names").alias("of")).select("id", F.explode(F.split("of", "-")).alias("w"), F.lit("a").alias("kind"), "of").where("w <> ''")
-    keys = terms.unionByName(parts.select("id", "w", "kind", "of"))
-    words = text.select("doc_id", F.explode(C.content_words(F.col("text"))).alias("w"))
-    met = words.join(keys, "w").groupBy("doc_id", "id").agg(
-        F.count_distinct(F.when(F.col("kind") == "t", F.col("of"))).alias("t"), F.count_distinct(F.when(F.col("kind") == "a", F.col("of"))).alias("a")
-    )
-    dated = text.select("doc_id", F.explode(C.years(F.col("text"))).alias("year")).join(reg.where(F.col("year").rlike(r"^\d{4}\z")).select("id", "year"), "year").select("doc_id", "id", F.lit(1).alias("y"))
-    flat = text.select("doc_id", C.without_spaces(F.col("text")).alias("flat"))
-    registrant = r"(10\.\d{4,9}/)"
-    named = flat.select("doc_id", "flat", F.explode(F.array_distinct(F.regexp_extract_all("flat", F.lit(registrant), F.lit(1)))).alias("r"))
-    owned = reg.where(F.col("doi").rlike("^" + registrant)).select("id", "doi", F.regexp_extract("doi", registrant, 1).alias("r"))
-    odd = reg.where((F.col("doi") != "") & ~F.col("doi").rlike("^" + registrant)).select("id", "doi")
-    printed = named.join(owned, "r").where(C.doi_printed(F.col("doi"), F.col("flat"))).select("doc_id", "id")
-    other = flat.join(odd, F.contains("flat", "doi")).where(C.doi_printed(F.col("doi"), F.col("flat"))).select("doc_id", "id")
-    hits = printed.unionByName(other).distinct().select("doc_id", "id", F.lit(1).alias("d"))
-    each = [
-        met.select("doc_id", "id", "t", "a", F.lit(0).alias("y"), F.lit(0).alias("d")),
-        dated.select("doc_id", "id", F.lit(0).alias("t"), F.lit(0).alias("a"), "y", F.lit(0).alias("d")),
-        hits.select("doc_id", "id", F.lit(0).alias("t"), F.lit(0).alias("a"), F.lit(0).alias("y"), "d"),
-    ]
-    pairs = each[0].unionByName(each[1]).unionByName(each[2]).groupBy("doc_id", "id").agg(*[F.max(c).alias(c) for c in "tayd"])
+    keys = _registry_keys(reg)
+    named = lambda mark, found: F.transform(found, lambda x: F.concat(F.lit(mark), x))
+    flat = C.without_spaces(F.col("text"))
+    registrants = lambda c: F.array_distinct(F.regexp_extract_all(c, F.lit(REGISTRANT), F.lit(1)))
+    own = F.concat(C.content_words(F.col("text")), named("y:", C.years(F.col("text"))), named("r:", registrants(flat)))
+    met = text.select("doc_id", F.explode(own).alias("key")).join(keys, "key")
+    # A surname counts once, however many of its parts are there: a bit each.
+    masks = -(-(keys.where("kind = 'h'").agg(F.max("n")).first()[0] or 0) // 62) + 1
+    kind = lambda k: F.col("kind") == k
+    bits = [F.bit_or(F.when(kind("h") & (F.floor(F.col("n") / 62) == i), F.expr("shiftleft(1L, n % 62)")).otherwise(F.lit(0).cast("long"))).alias(f"b{i}") for i in range(masks)]
+    pairs = met.groupBy("doc_id", "id").agg(F.count(F.when(kind("t"), 1)).alias("t"), F.count(F.when(kind("a"), 1)).alias("a"), F.bool_or(kind("y")).alias("y"), *bits)
+    pairs = pairs.withColumn("a", F.col("a") + sum(F.bit_count(f"b{i}") for i in range(masks))).drop(*[f"b{i}" for i in range(masks)])
+
+    owned = reg.where(F.col("doi").rlike("^" + REGISTRANT)).select("id", "doi", F.regexp_extract("doi", REGISTRANT, 1).alias("r"))
+    odd = reg.where((F.col("doi") != "") & ~F.col("doi").rlike("^" + REGISTRANT)).select("id", "doi")
+    printing = text.where(F.contains("text", F.lit("10."))).select("doc_id", flat.alias("flat"))
+    printed = printing.select("doc_id", "flat", F.explode(registrants(F.col("flat"))).alias("r")).join(owned, "r").where(C.doi_printed(F.col("doi"), F.col("flat"))).select("doc_id", "id")
+    other = text.select("doc_id", flat.alias("flat")).join(odd, F.contains("flat", "doi")).where(C.doi_printed(F.col("doi"), F.col("flat"))).select("doc_id", "id")
+    hits = (printed.unionByName(other) if not odd.isEmpty() else printed).distinct().withColumn("d", F.lit(True))
+
+    pairs = pairs.join(hits, ["doc_id", "id"], "full") if not reg.where("doi <> ''").isEmpty() else pairs.withColumn("d", F.lit(False))
     sized = reg.select("id", "ord", F.size("tw").alias("nt"), F.size("names").alias("na"))
-    overlap = F.when(F.col("nt") > 0, F.col("t") / F.col("nt")).otherwise(0.0)
-    share = F.when(F.col("na") > 0, F.col("a") / F.col("na")).otherwise(0.0)
-    score = DOI_WEIGHT * F.col("d") + TITLE_WEIGHT * overlap + AUTHOR_WEIGHT * share + YEAR_WEIGHT * F.col("y")
-    return pairs.join(sized, "id").select("doc_id", "id", "ord", (F.col("d") > 0).alias("doi_hit"), overlap.alias("title_overlap"), score.alias("score"))
+    share = lambda n, of: F.when(F.col(of) > 0, F.coalesce(F.col(n), F.lit(0)) / F.col(of)).otherwise(0.0)
+    hit = F.coalesce("d", F.lit(False))
+    year = F.coalesce("y", F.lit(False))
+    score = DOI_WEIGHT * hit.cast("int") + TITLE_WEIGHT * share("t", "nt") + AUTHOR_WEIGHT * share("a", "na") + YEAR_WEIGHT * year.cast("int")
+    return pairs.join(sized, "id").select("doc_id", "id", "ord", hit.alias("doi_hit"), share("t", "nt").alias("title_overlap"), score.alias("score"))
 
 
 def ranked(docs: DataFrame, registry: DataFrame) -> DataFrame:

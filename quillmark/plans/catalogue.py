@@ -178,7 +178,7 @@ def dup_json_keys(raws: DataFrame) -> DataFrame:
 
 _STOP = ", ".join(f"'{w}'" for w in C.STOP_WORDS)
 _WORDS = f"list_distinct(list_filter(regexp_extract_all(lower(%s), '[a-z0-9]+'), lambda w: len(w) > 2 AND NOT list_contains([{_STOP}], w)))"
-_SCORED = f""", reg AS (SELECT item_id AS id, {_WORDS % "array_to_string(string_split(text, ' ')[1:12], ' ')"} AS ws FROM items),
+_SCORED = f""", reg AS (SELECT item_id AS id, {_WORDS % "text"} AS ws FROM items),
 doc AS (SELECT doc_id, {_WORDS % "text"} AS ws FROM docs),
 rw AS (SELECT id, len(ws) AS n, unnest(ws) AS w FROM reg), dw AS (SELECT doc_id, unnest(ws) AS w FROM doc),
 hit AS (SELECT doc_id, id, count(*) / n AS overlap, 50 * (count(*) / n) AS score FROM dw JOIN rw USING (w) GROUP BY doc_id, id, n),
@@ -188,9 +188,8 @@ best AS (SELECT *, score - runner_up AS margin, score - runner_up > 0 AND overla
 
 
 def _registry(items: DataFrame) -> DataFrame:
-    title = F.array_join(F.slice(F.split("text", " "), 1, 12), " ")
     none = F.lit(None).cast("string")
-    return items.select(F.col("item_id").alias("id"), F.col("item_id").alias("ord"), title.alias("title"), none.alias("doi"), none.alias("authors"), none.alias("year"))
+    return items.select(F.col("item_id").alias("id"), F.col("item_id").alias("ord"), F.col("text").alias("title"), none.alias("doi"), none.alias("authors"), none.alias("year"))
 
 
 ITEMS, DOCS = "select item_id, text from {benchmark}", "select doc_id, text from {documents}"
