@@ -52,25 +52,28 @@ def linked(nodes: DataFrame, check: Callable[[DataFrame], DataFrame], load: Call
     sums = sums.where((F.col("parts") > 1) & (F.col("m") > FEW)).select("key", F.col("most.root").alias("main"), "m", (F.col("m") - F.col("most.c")).alias("o"))
     blocks = written(sums.select("key", "main", "m", F.ceil(F.col("m") / MEMBERS).cast("int").alias("mb"), F.ceil(F.col("o") / MEMBERS).cast("int").alias("ob")), f"{name}-blocks")
     dealt = hot_lookup(rooted, blocks, ["key"], ["node"], hot=hot).where("ob is not null")
-    dealt = written(dealt.select("key", "node", "mb", "ob", (F.col("root") != F.col("main")).alias("other")), f"{name}-dealt")
+    dealt = written(dealt.select("key", "node", "root", "mb", "ob", (F.col("root") != F.col("main")).alias("other")), f"{name}-dealt")
 
     h = F.xxhash64("node", F.lit(9))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    members = dealt.select("key", every("ob").alias("x"), F.pmod(h, "mb").cast("int").alias("y"), F.lit(0).alias("kind"), "node")
-    asking = dealt.where("other").select("key", F.pmod(h, "ob").cast("int").alias("x"), every("mb").alias("y"), F.lit(1).alias("kind"), "node")
+    members = dealt.select("key", every("ob").alias("x"), F.pmod(h, "mb").cast("int").alias("y"), F.lit(0).alias("kind"), "node", "root")
+    asking = dealt.where("other").select("key", F.pmod(h, "ob").cast("int").alias("x"), every("mb").alias("y"), F.lit(1).alias("kind"), "node", "root")
     rows = load(members.union(asking)).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "kind", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in tables(batches, 3):
-            kind, node = t.column(3).to_numpy(), t.column(4).to_numpy()
+            kind, root = t.column(3).to_numpy(), t.column(5).to_numpy()
             edges = key_edges(t, 3)
             for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 asks = np.flatnonzero(kind[i:j] == 1)
                 if len(asks):
-                    a, b = compare([c.combine_chunks() for c in t.slice(i, j - i).columns[5:]], asks, np.flatnonzero(kind[i:j] == 0))
-                    yield pa.RecordBatch.from_arrays([pa.array(node[i:j][a]), pa.array(node[i:j][b])], ["a", "b"])
+                    a, b = compare([c.combine_chunks() for c in t.slice(i, j - i).columns[6:]], asks, np.flatnonzero(kind[i:j] == 0))
+                    # Parts that hang together already need one link to each other.
+                    ends = np.sort(np.stack([root[i:j][a], root[i:j][b]], axis=1), axis=1)
+                    ends = np.unique(ends[ends[:, 0] != ends[:, 1]], axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
 
-    return near.select("a", "b").union(rows.mapInArrow(run, "a long, b long").where("a <> b"))
+    return near.select("a", "b").union(rows.mapInArrow(run, "a long, b long"))
 
 
 def _hot(counts: DataFrame, n: str, share: int = 1024) -> DataFrame:

@@ -27,20 +27,31 @@ PHRASES = {
 }
 #: Wordings of licence notices, with the labels that they give.
 TEMPLATES = (
+    ("agpl", "under the terms of the gnu affero general public license as published by the free software foundation"),
     ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd-3-clause", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsl", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
     ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
     ("cc-by-sa", "licensed under cc by sa 4 0"),
     ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
+    ("cc-by-nd", "this work is licensed under a creative commons attribution noderivatives 4 0 international license"),
     ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
+    ("epl", "the accompanying materials are made available under the terms of the eclipse public license"),
+    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
     ("gpl", "this work is licensed under the gnu general public license version 3"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
     ("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files to deal in the software without restriction"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("odbl", "is made available under the open database license"),
+    ("ofl", "this font software is licensed under the sil open font license version 1 1"),
     ("proprietary", "all rights reserved no part of this publication may be reproduced or transmitted in any form without permission"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software"),
 )
 #: Words of the shortest match that is chained.
 LONG = 4

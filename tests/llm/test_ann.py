@@ -85,3 +85,25 @@ def test_queries_that_find_too_few_rows_go_on(spark):
     rng = np.random.default_rng(5)
     df = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=8)]) for i in range(15)], "vec_id long, embedding array<double>")
     assert A.search(df, F.col("vec_id") % 20 == 0, probes=1).count() == 14
+
+
+def test_recall_at_the_default_parameters_without_clusters(spark):
+    """Vectors that scatter their neighbours: the hardest case for learned parts."""
+    rng = np.random.default_rng(7)
+    v = rng.normal(size=(3000, 32))
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in A.search(df, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, 3000, 20):
+        s = v @ v[q]
+        s[q] = -np.inf
+        hits += len(set(np.argsort(-s)[:20].tolist()) & got[q])
+    assert hits / (150 * 20) >= 0.9
+
+
+def test_rows_that_share_an_id(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.1, 0.5]), (1, [0.9, 0.0]), (2, [0.5, 0.0]), (0, [0.0, 1.0])], "vec_id long, embedding array<double>")
+    got = A.search(df, F.col("vec_id") % 20 == 0).collect()
+    assert sorted((r["rank"], r.vec_id, r.score) for r in got) == [(1, 1, 0.9), (2, 2, 0.5)]
