@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmark.functions import columns as C
+from quillmark.functions import tables
 from quillmark.operators import acceptance, bundles, geometry, integrity, jats, matching, reports, rules, staging, witness
 from quillmark.plans.catalogue import query
 from quillmark.sources import bundles as files_of
@@ -629,3 +630,30 @@ def disagreements(witnesses: DataFrame) -> DataFrame:
 )
 def file_digests(raw: DataFrame) -> DataFrame:
     return raw.select("key", staging.digest(F.col("body").cast("binary")).alias("digest"))
+
+
+# --- table functions ---------------------------------------------------------------------------
+
+
+@query(
+    "nested_duplicates",
+    """SELECT key, 0 AS seq, '' AS position, 'a' AS name FROM src WHERE key % 4 = 1 UNION ALL SELECT key, 0, 'b', 'c' FROM src WHERE key % 4 = 2
+      UNION ALL SELECT key, 0, '', 'b' FROM src WHERE key % 4 = 3 UNION ALL SELECT key, 1, 'l[1]', 'x' FROM src WHERE key % 4 = 3 UNION ALL SELECT key, 2, 'replaced', 'd' FROM src WHERE key % 4 = 3""",
+    src="""select s_suppkey as key, case s_suppkey % 4 when 0 then '{{"a": 1}}' when 1 then '{{"a": 1, "a": 2}}' when 2 then '{{"b": {{"c": 1, "c": 1}}}}'
+      else '{{"b": {{"d": 1, "d": 2}}, "b": 1, "l": [1, {{"x": 1, "x": 2}}]}}' end as raw from {supplier}""",
+)
+def nested_duplicates(src: DataFrame) -> DataFrame:
+    tables.register(src.sparkSession)
+    return src.sparkSession.sql("select key, t.* from {src}, lateral strict_json(raw) t", src=src)
+
+
+@query(
+    "table_functions",
+    """SELECT key, 'event' AS made, count_ AS n FROM (SELECT key, 7 + 3 * (key % 3) AS count_ FROM src) UNION ALL SELECT key, 'cell', 1 + key % 3 FROM src UNION ALL SELECT key, 'line', 1 FROM src""",
+    src="select s_suppkey as key, concat('<table><tr><td>a</td>', repeat('<td>b</td>', cast(s_suppkey % 3 as int)), '</tr></table>') as html, concat('<a><body><p>t', s_suppkey, '</p></body></a>') as xml from {supplier}",
+)
+def table_functions(src: DataFrame) -> DataFrame:
+    tables.register(src.sparkSession)
+    made = [("event", "html_events(html)"), ("cell", "grid_cells(html)"), ("line", "jats_lines(xml)")]
+    parts = [f"select key, '{name}' as made, count(*) as n from {{src}}, lateral {call} t group by key" for name, call in made]
+    return src.sparkSession.sql(" union all ".join(parts), src=src)
