@@ -1,25 +1,24 @@
 """Validation of paper bundles over a whole corpus.
 
-Declarations are parsed a file at a time into facts: violations of their own shape, and what
-they declare. All checks between files are joins and windows over facts and files. A check
-that would read an untrusted value is gated: its facts are only there where the file they
-come from is sound enough.
+All rules of a bundle need that bundle only, so rows are dealt by bundle once and each bundle is
+judged in one pass, its contents dropped as soon as they are. Declarations become facts: what is
+wrong with their own shape, and what they declare. A check that would read an untrusted value is
+gated: its facts are only there where the file they come from is sound enough.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmark.functions import columns as C
 from quillmark.functions.strict_json import parsed, repeated_keys, type_name
-from quillmark.operators import integrity
 from quillmark.operators.markup import findings
-from quillmark.sources.bundles import supplement_dirs
 
 # Fixed values.
 SCHEMA_VERSION = 5
@@ -32,7 +31,7 @@ SUPPLEMENTS, SUPPLEMENT = ("id", "supplements"), ("name", "title", "exhibits")
 #: Phases in the order in which problems are listed.
 PHASES = ["root", "case", "manifest", "text", "figures", "tables", "supplements", "binding", "table_binding", "contents", "uniqueness"]
 VIOLATIONS = "bundle_id string, phase string, scope string, ord long, rule string, detail string"
-FACTS = "bundle_id string, file string, kind string, scope string, pos long, name string, rule string, detail string"
+DECLARATIONS = {"manifest.json": "manifest", "supplements.json": "supplements"}
 
 
 def name_fault(value: object) -> str | None:
@@ -47,7 +46,7 @@ def name_fault(value: object) -> str | None:
 
 
 class Facts:
-    """Facts of one file, in the order in which they are found."""
+    """Facts of one file, in the order in which they are found: (kind, scope, pos, name, rule, detail)."""
 
     def __init__(self, file: str):
         self.file = file
@@ -208,191 +207,167 @@ def _supplements(f: Facts, value: object) -> dict[str, list[str]] | None:
     return declared if sound else None
 
 
-def declared_facts(files: DataFrame) -> DataFrame:
-    """FACTS of the declarations of a files DataFrame."""
-    own = files.where("scope = '' and dir = '' and name in ('manifest.json', 'supplements.json') and content is not null")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for bundle, name, raw in zip(b["bundle_id"], b["name"], b["content"], strict=True):
-                make = manifest_facts if name == "manifest.json" else supplements_facts
-                rows += [(bundle, name, *r) for r in make(raw)]
-            yield pd.DataFrame(rows, columns=["bundle_id", "file", "kind", "scope", "pos", "name", "rule", "detail"])
-
-    return own.select("bundle_id", "name", "content").mapInPandas(run, FACTS)
-
-
-def table_violations(tables: DataFrame) -> DataFrame:
-    """(bundle_id, scope, label, ord, rule, detail) of transcriptions with their content."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = [(i, s, n, k, r, d) for i, s, n, h in zip(b["bundle_id"], b["scope"], b["label"], b["content"], strict=True) for k, (r, d) in enumerate(findings(h))]
-            yield pd.DataFrame(rows, columns=["bundle_id", "scope", "label", "ord", "rule", "detail"])
-
-    return tables.select("bundle_id", "scope", "label", "content").mapInPandas(run, "bundle_id string, scope string, label string, ord long, rule string, detail string")
-
-
-def _row(cond: Column, phase: str, rule: str | Column, detail: str | Column, ord_: Column | None = None) -> Column:
-    """A violation where cond holds, else null."""
-    text = lambda x: F.lit(x) if isinstance(x, str) else x
-    return F.when(cond, F.struct(F.lit(phase).alias("phase"), (F.lit(0) if ord_ is None else ord_).cast("long").alias("ord"), text(rule).alias("rule"), text(detail).alias("detail")))
-
-
-def _exploded(df: DataFrame, *found: Column) -> DataFrame:
-    """The violations of each row, in one pass over the rows."""
-    each = F.explode(F.filter(F.array(*found), lambda x: x.isNotNull()))
-    return df.select("bundle_id", "scope", each.alias("v")).select("bundle_id", "scope", "v.*")
-
+class Entry(NamedTuple):
+    """A row of a bundle's listing, see sources.bundles."""
+
+    scope: str
+    dir: str
+    name: str
+    kind: str
+    hidden: bool
+    head: bytes | None
+    content: str | None
+    read_error: str | None
+
+    @property
+    def unread(self) -> bool:
+        return self.kind != "file" or self.read_error is not None
+
+    @property
+    def broken(self) -> bool:
+        """As a directory."""
+        return self.kind != "dir" or self.read_error is not None
+
+    @property
+    def why(self) -> str:
+        return self.read_error or self.kind
+
+    def asset(self, folder: str, suffix: str) -> str | None:
+        """The label, if the entry is a file of that folder with that suffix."""
+        own = self.dir == folder and not self.hidden and self.kind != "dir" and self.name.endswith(suffix) and len(self.name) > len(suffix)
+        return self.name[: -len(suffix)] if own else None
+
+
+ASSETS = {"figures": ".png", "tables": ".html"}
+Violation = tuple[str, str, int, str, str]
+
+
+def picture_state(e: Entry) -> str | None:
+    """What keeps a crop from being a picture."""
+    if e.kind != "file":
+        return "special"
+    if e.read_error is not None:
+        return "unreadable"
+    return "empty" if not e.head else None if e.head == C.PNG_HEAD else "not_png"
+
+
+def entry_rules(e: Entry, bad: set[str]) -> Iterator[Violation]:
+    """(phase, scope, ord, rule, detail) that one entry of a checked scope shows. bad: folders of the
+    scope that can't be listed."""
+    article, top = e.scope == "", e.dir == ""
+    lower = e.name.lower()
+    if top and e.name != lower and lower in (BUNDLE_ENTRIES if article else SUPPLEMENT_ENTRIES):
+        yield "case", e.scope, 0, "miscased", e.name
+    if top and article and e.name in DECLARATIONS and e.unread:
+        yield DECLARATIONS[e.name], e.scope, 0, "unreadable", e.why
+    if top and e.name == "text.md":
+        if e.unread:
+            yield "text", e.scope, 0, "unreadable", e.why
+        elif not (e.content or "").strip():
+            yield "text", e.scope, 0, "empty", e.name
+    if top and e.name in ASSETS and e.broken:
+        yield e.name, e.scope, 0, "not_directory" if e.kind != "dir" else "unreadable", e.name if e.kind != "dir" else e.why
+    if article and e.name == "supplements" and top and e.kind != "dir":
+        yield "supplements", e.scope, 0, "not_directory", e.name
+    if e.dir == "supplements" and e.kind != "dir" and not e.hidden:
+        yield "supplements", e.scope, 0, "loose_file", e.name
+    if e.dir not in ASSETS or e.hidden or e.dir in bad:
+        return
+    label = e.asset(e.dir, ASSETS[e.dir])
+    if label is None:
+        yield e.dir, e.scope, 0, "subdirectory" if e.kind == "dir" else "suffix", e.name
+    elif e.dir == "figures":
+        fault = name_fault(label)
+        rule = f"name_{fault}" if fault else picture_state(e)
+        if rule:
+            yield "figures", e.scope, 0, rule, e.name
+    elif e.unread:
+        yield "tables", e.scope, 0, "unreadable", e.name
+    else:
+        for i, (rule, detail) in enumerate(findings(e.content)):
+            yield "tables", e.scope, i, rule, f"{label}: {detail}"
+
+
+def binding_rules(scope: str, bad: set[str], declared: set[str], crops: set[str], tables: set[str]) -> Iterator[Violation]:
+    """Labels declared, cropped and transcribed, where both sides can be known."""
+    if "figures" not in bad:
+        yield from (("binding", scope, 0, "no_crop", x) for x in declared - crops)
+        yield from (("binding", scope, 0, "undeclared", x) for x in crops - declared)
+    if "tables" not in bad:
+        yield from (("table_binding", scope, 0, "undeclared", x) for x in tables - declared)
+
+
+def judged(entries: list[Entry]) -> list[Violation]:
+    """The violations of one bundle."""
+    tops = {(e.scope, e.name): e for e in entries if e.dir == ""}
+    root = tops.get(("", ""))
+    out: list[Violation] = [("root", "", 0, root.read_error, "")] if root and root.read_error else []
+    facts = [(d, f) for d, make in (("manifest.json", manifest_facts), ("supplements.json", supplements_facts)) for e in [tops.get(("", d))] if e and e.content is not None for f in make(e.content)]
+    out += [(DECLARATIONS[d], "", pos, rule, detail) for d, (kind, _, pos, _, rule, detail) in facts if kind == "violation"]
+    told = lambda kind: [(d, scope, pos, name) for d, (k, scope, pos, name, _, _) in facts if k == kind]
+    declared = {scope for _, scope, _, _ in told("supplement")}
+    present = {f"supplements/{e.name}/" for e in entries if e.dir == "supplements" and e.kind == "dir" and not e.hidden}
+    bad = lambda scope: {n for n in (*ASSETS, "supplements") if (e := tops.get((scope, n))) and e.broken}
+    article = bool(root) and not root.read_error
+    checked = ({""} if article else set()) | (declared & present)
+    unlisted = {scope: bad(scope) for scope in checked}
+    for e in entries:
+        if e.name and e.scope in checked:
+            out += entry_rules(e, unlisted[e.scope])
+
+    if article:
+        out += [(phase, "", 0, "missing_file", n) for n, phase in (("manifest.json", "manifest"), ("text.md", "text")) if ("", n) not in tops]
+        ids = {d: name for d, _, _, name in told("id")}
+        if len(ids) == 2 and len(set(ids.values())) == 2:
+            out.append(("supplements", "", 0, "id_differs", f"{ids['supplements.json']} {ids['manifest.json']}"))
+        if "supplements" not in unlisted[""]:
+            sound, stated = bool(told("supplements_sound")), ("", "supplements.json") in tops
+            name = lambda scope: scope.removeprefix("supplements/").removesuffix("/")
+            out += [("supplements", "", 0, "no_declaration", name(x)) for x in present if not stated]
+            out += [("supplements", "", 0, "missing_directory", name(x)) for x in declared - present if sound]
+            out += [("supplements", "", 0, "undeclared", name(x)) for x in present - declared if sound]
+
+    labels = sorted((scope, pos, name) for _, scope, pos, name in told("label"))
+    for scope in checked & ({""} if told("exhibits_sound") else set()) | (checked & declared):
+        of = lambda folder, scope=scope: {x for e in entries if e.scope == scope and folder not in unlisted[scope] and (x := e.asset(folder, ASSETS[folder]))}
+        crops = {x for x in of("figures") if name_fault(x) is None}
+        out += binding_rules(scope, unlisted[scope], {name for s, _, name in labels if s == scope}, crops, of("tables"))
+    # One label, one exhibit: the article's first, where any supplement is declared.
+    first: dict[str, str] = {}
+    for scope, _, name in labels:
+        if name in first:
+            out.append(("uniqueness", scope, 0, "label_twice", f"{name} {first[name]}"))
+        first.setdefault(name, scope)
+    # What belongs to a supplement is listed with its contents.
+    return [("contents" if scope and phase != "uniqueness" else phase, scope, *rest) for phase, scope, *rest in out]
 
-def gates(files: DataFrame, facts: DataFrame) -> DataFrame:
-    """(bundle_id, scope, flags): what is there, what can be trusted, and what is checked.
 
-    A scope is the article or a supplement; a supplement is checked if it is declared in a
-    sound declaration and has a directory. Broken bundles have no gates.
-    """
-    c = F.col
-    top = c("dir") == ""
-    bad = (c("kind") != "dir") | c("read_error").isNotNull()
-    there = lambda name: top & (c("name") == name)
-    none = F.lit(None).cast("string")
-    seen = files.select(
-        "bundle_id",
-        "scope",
-        (top & (c("name") == "") & (c("scope") == "")).alias("root"),
-        (top & (c("name") == "") & c("read_error").isNotNull()).alias("broken"),
-        there("manifest.json").alias("has_manifest"),
-        there("text.md").alias("has_text"),
-        there("supplements.json").alias("has_declaration"),
-        (there("figures") & bad).alias("bad_figures"),
-        (there("tables") & bad).alias("bad_tables"),
-        (there("supplements") & bad).alias("bad_supplements"),
-        F.lit(False).alias("exhibits_sound"),
-        F.lit(False).alias("supplements_sound"),
-        F.lit(False).alias("declared"),
-        F.lit(False).alias("present"),
-        none.alias("manifest_id"),
-        none.alias("declared_id"),
-    )
-    flags = seen.columns[2:]
-    no = {f: F.lit(False) for f in flags} | {"manifest_id": none, "declared_id": none}
-    dirs = supplement_dirs(files).select("bundle_id", F.concat(F.lit("supplements/"), "name", F.lit("/")).alias("scope"))
-    of_dirs = dirs.select("bundle_id", "scope", *[v.alias(k) for k, v in (no | {"present": F.lit(True)}).items()])
-    kind = lambda k: c("kind") == k
-    own_id = lambda file: F.when(kind("id") & (c("file") == file), c("name"))
-    told = no | {"exhibits_sound": kind("exhibits_sound") | kind("supplement"), "supplements_sound": kind("supplements_sound"), "declared": kind("supplement"), "manifest_id": own_id("manifest.json"), "declared_id": own_id("supplements.json")}
-    of_facts = facts.where("kind <> 'violation'").select("bundle_id", "scope", *[v.alias(k) for k, v in told.items()])
-    both = seen.unionByName(of_dirs).unionByName(of_facts)
-    by = both.groupBy("bundle_id", "scope").agg(*[(F.max(f) if f.endswith("_id") else F.bool_or(f)).alias(f) for f in flags])
-    return by.withColumn("checked", (c("root") & ~c("broken")) | (c("declared") & c("present")))
-
-
-def violations(files: DataFrame, kept: list[DataFrame] | None = None) -> DataFrame:
+def violations(files: DataFrame) -> DataFrame:
     """VIOLATIONS of all bundles of a files DataFrame (see sources.bundles); sound ones have none.
 
-    Files meet their scope's gates in one join; what one file shows is then a filter. Labels,
-    crops and transcriptions meet in one aggregation, supplements in another.
-    The frames cached for that are added to kept, for a caller that runs on.
+    Rows are dealt by bundle, and a task holds one bundle at a time. Tables in which a whole bundle
+    is one partition already are still dealt, since a DataFrame does not say so.
     """
-    # Kept while the checks read them; kept rows are made anew where an executor is lost.
-    files = files.persist()
-    facts = declared_facts(files).persist()
-    gate = gates(files, facts).persist()
-    c = F.col
-    named = files.where("name <> ''").join(gate.where("checked"), ["bundle_id", "scope"]).persist()
-    if kept is not None:
-        kept += [files, facts, gate, named]
-    top, article = c("dir") == "", c("scope") == ""
-    lower = F.lower("name")
-    contract = F.when(article, lower.isin(*BUNDLE_ENTRIES)).otherwise(lower.isin(*SUPPLEMENT_ENTRIES))
-    declaration = article & c("name").isin("manifest.json", "supplements.json")
-    unread = (c("kind") != "file") | c("read_error").isNotNull()
-    why = F.coalesce("read_error", "kind")
-    folder = top & c("name").isin("figures", "tables")
-    of_folder = F.when(c("name") == "figures", "figures").otherwise("tables")
-    found = [_row(top & contract & (c("name") != lower), "case", "miscased", c("name"))]
-    for name, phase in (("manifest.json", "manifest"), ("supplements.json", "supplements")):
-        found.append(_row(top & declaration & (c("name") == name) & unread, phase, "unreadable", why))
-    text = top & (c("name") == "text.md")
-    found += [_row(text & unread, "text", "unreadable", why), _row(text & ~unread & C.is_blank(c("content")), "text", "empty", "text.md")]
-    for name, suffix in (("figures", ".png"), ("tables", ".html")):
-        found += [
-            _row(folder & (of_folder == name) & (c("kind") != "dir"), name, "not_directory", c("name")),
-            _row(folder & (of_folder == name) & (c("kind") == "dir") & c("read_error").isNotNull(), name, "unreadable", c("read_error")),
-        ]
-        inside = (c("dir") == name) & ~c("hidden") & ~c(f"bad_{name}")
-        stray = (c("kind") == "dir") | ~c("name").endswith(suffix) | (F.length("name") <= len(suffix))
-        found.append(_row(inside & stray, name, F.when(c("kind") == "dir", "subdirectory").otherwise("suffix"), c("name")))
-    label = F.regexp_replace("name", r"\.(png|html)\z", "")
-    crop = (c("dir") == "figures") & ~c("hidden") & ~c("bad_figures") & (c("kind") != "dir") & c("name").endswith(".png") & (F.length("name") > 4)
-    stem = C.name_rule(label)
-    state = F.when(c("kind") != "file", "special").when(c("read_error").isNotNull(), "unreadable").when(F.coalesce(F.length("head"), F.lit(0)) == 0, "empty").when(c("head") != F.lit(C.PNG_HEAD), "not_png")
-    found += [_row(crop & stem.isNotNull(), "figures", F.concat(F.lit("name_"), stem), c("name")), _row(crop & stem.isNull() & state.isNotNull(), "figures", state, c("name"))]
-    table = (c("dir") == "tables") & ~c("hidden") & ~c("bad_tables") & (c("kind") != "dir") & c("name").endswith(".html") & (F.length("name") > 5)
-    found.append(_row(table & unread, "tables", "unreadable", c("name")))
-    found += [_row((c("dir") == "supplements") & (c("kind") != "dir") & ~c("hidden"), "supplements", "loose_file", c("name")), _row(article & top & (c("name") == "supplements") & (c("kind") != "dir"), "supplements", "not_directory", c("name"))]
-    out = [_exploded(named, *found)]
-
-    roots = files.where("scope = '' and dir = '' and name = '' and read_error is not null")
-    out.append(_exploded(roots, _row(F.lit(True), "root", c("read_error"), "")))
-    differ = c("manifest_id").isNotNull() & c("declared_id").isNotNull() & (c("manifest_id") != c("declared_id"))
-    out.append(
-        _exploded(
-            gate.where("checked"),
-            _row(article & ~c("has_manifest"), "manifest", "missing_file", "manifest.json"),
-            _row(article & ~c("has_text"), "text", "missing_file", "text.md"),
-            _row(article & differ, "supplements", "id_differs", F.concat_ws(" ", "declared_id", "manifest_id")),
-        )
-    )
-    own = F.when(c("file") == "manifest.json", "manifest").otherwise("supplements")
-    shape = facts.where("kind = 'violation'").select("bundle_id", "scope", own.alias("phase"), c("pos").alias("ord"), "rule", "detail")
-    out.append(shape)
-    readable = named.where(table & ~unread).select("bundle_id", "scope", label.alias("label"), "content")
-    markup = table_violations(readable)
-    out.append(markup.select("bundle_id", "scope", F.lit("tables").alias("phase"), "ord", "rule", F.concat_ws(": ", "label", "detail").alias("detail")))
-
-    # Supplements: declared and present, each way, where both sides can be known.
-    sides = gate.where("scope <> '' and (declared or present)").select("bundle_id", "scope", "declared", "present")
-    tops = gate.where("scope = '' and checked").select("bundle_id", "supplements_sound", "bad_supplements", "has_declaration")
-    met = sides.join(tops, "bundle_id").where("not bad_supplements")
-    name = F.regexp_extract("scope", "^supplements/(.*)/$", 1)
-    of_article = met.select("bundle_id", F.lit("").alias("scope"), name.alias("name"), "declared", "present", "supplements_sound", "has_declaration")
-    out.append(
-        _exploded(
-            of_article,
-            _row(~c("has_declaration") & c("present"), "supplements", "no_declaration", c("name")),
-            _row(c("supplements_sound") & c("declared") & ~c("present"), "supplements", "missing_directory", c("name")),
-            _row(c("supplements_sound") & ~c("declared") & c("present"), "supplements", "undeclared", c("name")),
-        )
-    )
-
-    # Labels: declared, cropped, transcribed.
-    labels = facts.where("kind = 'label'").select("bundle_id", "scope", c("name").alias("label"), F.lit("declared").alias("side"))
-    cropped = named.where(crop & stem.isNull()).select("bundle_id", "scope", label.alias("label"), F.lit("crop").alias("side"))
-    tabled = named.where(table).select("bundle_id", "scope", label.alias("label"), F.lit("table").alias("side"))
-    has = lambda side: F.bool_or(c("side") == side).alias(side)
-    by = labels.unionByName(cropped).unionByName(tabled).groupBy("bundle_id", "scope", "label").agg(has("declared"), has("crop"), has("table"))
-    by = by.join(gate.where("checked and exhibits_sound").select("bundle_id", "scope", "bad_figures", "bad_tables"), ["bundle_id", "scope"])
-    out.append(
-        _exploded(
-            by,
-            _row(~c("bad_figures") & c("declared") & ~c("crop"), "binding", "no_crop", c("label")),
-            _row(~c("bad_figures") & ~c("declared") & c("crop"), "binding", "undeclared", c("label")),
-            _row(~c("bad_tables") & ~c("declared") & c("table"), "table_binding", "undeclared", c("label")),
-        )
-    )
-    # One label, one exhibit: the article's first, where any supplement is declared.
-    used = facts.where("kind = 'label'").select("bundle_id", "scope", "pos", c("name").alias("label"))
-    again = integrity.later_declarations(used, ["bundle_id", "label"], ["scope", "pos"], "scope")
-    out.append(_exploded(again, _row(F.lit(True), "uniqueness", "label_twice", F.concat_ws(" ", "label", "first_declarer"))))
+    names = ["bundle_id", "phase", "scope", "ord", "rule", "detail"]
+    kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()]
 
-    whole = out[0]
-    for df in out[1:]:
-        whole = whole.unionByName(df)
-    # What belongs to a supplement is listed with its contents.
-    phase = F.when((c("scope") != "") & (c("phase") != "uniqueness"), "contents").otherwise(c("phase"))
-    return whole.withColumn("phase", phase).select("bundle_id", "phase", "scope", "ord", "rule", "detail")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        at, own = None, []
+        for b in batches:
+            for bundle, *rest in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if bundle != at:
+                    held += [(at, *v) for v in judged(own)] if own else []
+                    at, own = bundle, []
+                own.append(Entry(*rest))
+            if len(held) >= 4096:
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in held], k) for i, k in enumerate(kinds)], names)
+                held = []
+        held += [(at, *v) for v in judged(own)] if own else []
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in held], k) for i, k in enumerate(kinds)], names)
+
+    rows = files.select("bundle_id", *Entry._fields).repartition("bundle_id").sortWithinPartitions("bundle_id")
+    return rows.mapInArrow(run, VIOLATIONS)
 
 
 def listed(found: DataFrame) -> DataFrame:

@@ -18,10 +18,10 @@ def validate_stream(files: DataFrame, sink: Callable[[DataFrame, DataFrame, int]
     """
 
     def judge(batch: DataFrame, number: int) -> None:
-        kept: list[DataFrame] = []
-        found = bundles.violations(batch, kept)
-        sink(bundles.verdicts(batch, found), found, number)
-        for df in kept:
-            df.unpersist()
+        found = bundles.violations(batch).persist()
+        try:
+            sink(bundles.verdicts(batch, found), found, number)
+        finally:
+            found.unpersist()
 
     return files.writeStream.foreachBatch(judge).option("checkpointLocation", checkpoint).start()
