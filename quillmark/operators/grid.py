@@ -6,6 +6,10 @@ with the number of rows and the array of rows without a cell.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,10 +21,35 @@ GRID_LIMIT = 100_000
 
 
 def over_limit(cells: DataFrame) -> DataFrame:
-    """(file, cell_seq) of the first cell whose positions make the file's sum exceed the limit."""
-    w = Window.partitionBy("file").orderBy("cell_seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = cells.withColumn("claimed", F.sum(F.col("rowspan").cast("long") * F.col("colspan")).over(w))
-    return summed.where(F.col("claimed") > GRID_LIMIT).groupBy("file").agg(F.min("cell_seq").alias("cell_seq"))
+    """(file, cell_seq) of the first cell that has no room: the positions taken before it, each once,
+    and its own are more than the limit.
+
+    Only files whose spans add up to more than that can have one, so only they are counted out.
+    """
+    order = ["cell_seq", "row", "col", "rowspan", "colspan"]
+    area = F.col("rowspan").cast("double") * F.col("colspan")
+    large = cells.groupBy("file").agg(F.sum(area).alias("claimed")).where(F.col("claimed") > GRID_LIMIT).select("file")
+    rows = cells.select("file", *order).join(large, "file", "left_semi").repartition("file").sortWithinPartitions("file", *order)
+    kinds = [cells.schema[c].dataType.simpleString() for c in ("file", "cell_seq")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, taken = None, np.zeros(0, dtype=np.int64)
+        for b in batches:
+            full = []
+            for i, (file, _, row, col, high, wide) in enumerate(zip(*(c.to_pylist() for c in b.columns), strict=True)):
+                if file != at:
+                    at, taken = file, np.zeros(0, dtype=np.int64)
+                if taken is None:
+                    continue
+                if len(taken) + high * wide > GRID_LIMIT:
+                    full.append(i)
+                    taken = None
+                    continue
+                own = (np.arange(row, row + high)[:, None] << 32) + np.arange(col, col + wide)
+                taken = np.union1d(taken, own.ravel())
+            yield b.select([0, 1]).take(pa.array(full, pa.int64()))
+
+    return rows.mapInArrow(run, f"`file` {kinds[0]}, cell_seq {kinds[1]}")
 
 
 def positions(cells: DataFrame) -> DataFrame:

@@ -372,12 +372,16 @@ grid_query("grid_empty_rows", " SELECT file, (rows_ - 1)::INT AS r FROM wr WHERE
 
 @query(
     "grid_limit",
-    """, s AS (SELECT *, sum(rowspan * colspan) OVER (PARTITION BY file ORDER BY cell_seq) AS claimed FROM cells)
-    SELECT file, min(cell_seq) AS cell_seq FROM s WHERE claimed > 100000 GROUP BY file""",
+    """, s AS (SELECT *, rowspan * colspan AS area, row_number() OVER (PARTITION BY file ORDER BY cell_seq, row_, rowspan, colspan) AS k, sum(rowspan * colspan) OVER (PARTITION BY file) AS total FROM cells),
+    b AS (SELECT * FROM s WHERE total > 100000), u AS (SELECT file, k, colspan AS w, unnest(range(row_, row_ + rowspan)) AS r FROM b),
+    i AS (SELECT file, k, greatest(0, w - coalesce(max(w) OVER (PARTITION BY file, r ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS inc FROM u),
+    g AS (SELECT file, k, sum(inc) AS inc FROM i GROUP BY file, k),
+    c AS (SELECT b.file, cell_seq, area, coalesce(sum(inc) OVER (PARTITION BY b.file ORDER BY b.k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM b JOIN g ON b.file = g.file AND b.k = g.k)
+    SELECT file, min(cell_seq) AS cell_seq FROM c WHERE before + area > 100000 GROUP BY file""",
     cells="select l_orderkey as file, l_linenumber as cell_seq, l_linenumber as `row`, 0 as col, cast(l_partkey % 1000 + 1 as bigint) as rowspan, cast(l_suppkey % 1000 + 1 as bigint) as colspan from {lineitem}".replace("`row`", "row_"),
 )
 def grid_limit(cells: DataFrame) -> DataFrame:
-    return grid.over_limit(cells)
+    return grid.over_limit(cells.withColumnRenamed("row_", "row"))
 
 
 # --- witnesses ---------------------------------------------------------------------------------
