@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -18,14 +20,17 @@ BATCH_BYTES = 32 << 20
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see: spark.checkpoint.dir.
 
-    Where it is unset, a local session gets a temporary folder; a cluster is an error.
+    Where it is unset, a local session gets a temporary folder, which goes when Python ends; a
+    cluster is an error.
     """
     got = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if got:
         return got.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir is unset; a cluster needs a folder that all executors share")
-    made = "file://" + tempfile.mkdtemp(prefix="quillmark-")
+    folder = tempfile.mkdtemp(prefix="quillmark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    made = f"file://{folder}"
     spark.conf.set("spark.checkpoint.dir", made)
     return made
 

@@ -90,14 +90,15 @@ def test_near_classes_against_all_pairs(spark, monkeypatch):
     near = [(i, j) for i in range(len(texts)) for j in range(i) if X.likeness(prints[i], prints[j]) >= X.NEAR]
     far = [(i, j) for i in range(len(texts)) for j in range(i) if 0.5 < X.likeness(prints[i], prints[j]) < X.NEAR]
     assert len(near) > 200 and len(far) > 200
-    rows = spark.createDataFrame(list(enumerate(prints)), "doc_id long, fingerprint string")
-    for few, members in ((8, 1024), (2, 4)):
+    for few, members, n in ((8, 1024, len(texts)), (2, 4, 60)):
         monkeypatch.setattr(grouped, "FEW", few)
         monkeypatch.setattr(grouped, "MEMBERS", members)
+        near = [(i, j) for i, j in near if i < n]
+        rows = spark.createDataFrame(list(enumerate(prints[:n])), "doc_id long, fingerprint string")
         got = {r.doc_id: r.class_id for r in X.with_classes(rows).collect()}
-        want = classes_of(near, len(texts))
+        want = classes_of(near, n)
         # No class joins what links do not connect, and at least 95 % of the links are kept.
-        assert all(want[i] == want[got[i]] for i in range(len(texts)))
+        assert all(want[i] == want[got[i]] for i in range(n))
         assert sum(got[i] == got[j] for i, j in near) >= 0.95 * len(near)
 
 
@@ -115,3 +116,14 @@ def test_openings_count(spark):
     text = "".join(random.Random(5).choice("abcdefgh nopqrst") for _ in range(5000))
     a, b = X.Printed(text).print, X.Printed("QQQQQQQQ" + text[8:]).print
     assert a != b and 0.9 < X.likeness(a, b) < 1
+
+
+def test_null_and_repeated_ids_ties_and_long_texts(spark):
+    long = "ab c" * 60_000
+    docs = [(None, "last one here"), (5, "x y z"), (5, "x y z"), (5, long), (9, ""), (None, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = X.with_edits(df.repartition(3)).collect()
+    assert sorted((str(r.doc_id), r.n_chars) for r in got) == sorted((str(d), len(t or "")) for d, t in docs)
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, X.with_edits(df).collect()), key=str)
+    same = [r.fingerprint for r in got if r.n_chars == 5]
+    assert len(same) == 2 and len(set(same)) == 1

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from quillmark.llm import mixing as M
 
 
@@ -56,3 +58,14 @@ def test_mix_repeats_rows_and_keeps_columns(spark):
         n[r.doc_id] = n.get(r.doc_id, 0) + 1
     assert n == {d: c for d, c in copies.items() if c}
     assert M.mixed(df.limit(0)).count() == 0
+
+
+def test_null_ids_ties_and_very_long_texts(spark):
+    docs = [(None, "a b", "s"), (None, "a b", "s"), (1, "w " * 300_000, "s"), (2, "w", None), (2, "w", None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").selectExpr("*", "7 as `_m_size`", "8 as `row`")
+    got = M.mixed(df)
+    assert got.columns == df.columns
+    n = sum(len((r.text or "").split()) for r in got.collect())
+    assert n <= 3 * sum(len(t.split()) for _, t, _ in docs)
+    sizes = M.with_copies(M.sized(df), size=F.col("words")).collect()
+    assert sorted(r.size for r in sizes) == [1, 1, 2, 2, 300_000]

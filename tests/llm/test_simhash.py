@@ -123,3 +123,11 @@ def test_one_of_each_group_stays(spark):
     got = S.one_of_each(df)
     assert got.columns == df.columns
     assert sorted(r.doc_id for r in got.collect()) == [0, 1, 2, 3, 4, 5, 30]
+
+
+def test_long_texts_count_in_pieces(monkeypatch):
+    rng = random.Random(6)
+    text = " ".join(f"w{rng.randrange(300)}" for _ in range(2500))
+    want = plain_fingerprint(text)
+    monkeypatch.setattr(S, "PIECE", 64)
+    assert S.fingerprint(text)[0] & (1 << 64) - 1 == want

@@ -77,3 +77,13 @@ def test_automaton_spans():
         for x, y in a.spans(query, 4):
             got[x:y] = [True] * (y - x)
         assert got == want
+
+
+def test_very_long_texts_and_long_owners(spark):
+    """A document far longer than a shard, which later ones repeat here and there and as a whole."""
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(400)}" for _ in range(6000)]
+    docs = [(1, " ".join(words)), (2, " ".join(words[100:400] + ["x"] + words[3000:3700])), (3, " ".join(words[:5999])), (4, " ".join(f"y{i}" for i in range(200)))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = S.deduplicated(df, window=10, anchor=4, shard_words=500, stream_words=2000).select("row.doc_id", "words", "removed", "sha").collect()
+    assert sorted(map(tuple, got), key=str) == brute(docs, 10)
