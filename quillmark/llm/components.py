@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,3 +42,19 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for parents in reversed(rounds[:-1]):
         found = written(_joined(parents, "parent", found), "roots")
     return found.select("node", F.col("parent").alias("root"))
+
+
+def smallest(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The smallest member of each member's component."""
+    mark = np.arange(n)
+    while True:
+        low = np.minimum(mark[u], mark[v])
+        new = mark.copy()
+        np.minimum.at(new, mark[u], low)
+        np.minimum.at(new, mark[v], low)
+        np.minimum.at(new, u, low)
+        np.minimum.at(new, v, low)
+        new = new[new]
+        if (new == mark).all():
+            return mark
+        mark = new

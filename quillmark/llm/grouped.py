@@ -5,7 +5,7 @@ links would connect. In a group of FEW members or fewer all pairs are checked, i
 all members against one head. Then groups whose members are all connected are done. In each of
 the others the largest connected part stays, and the rest is compared with all members, in
 blocks of bounded size. So no pair is lost, and a group of near copies costs as many checks as it
-has members.
+has members. A block gives fewer links than it has members: those that connect what all of its links do.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmark.llm.common import hot_lookup, written
-from quillmark.llm.components import components
+from quillmark.llm.components import components, smallest
 
 FEW = 8
 #: Members that meet in one step.
@@ -68,10 +68,11 @@ def linked(nodes: DataFrame, check: Callable[[DataFrame], DataFrame], load: Call
                 asks = np.flatnonzero(kind[i:j] == 1)
                 if len(asks):
                     a, b = compare([c.combine_chunks() for c in t.slice(i, j - i).columns[6:]], asks, np.flatnonzero(kind[i:j] == 0))
-                    # Parts that hang together already need one link to each other.
-                    ends = np.sort(np.stack([root[i:j][a], root[i:j][b]], axis=1), axis=1)
-                    ends = np.unique(ends[ends[:, 0] != ends[:, 1]], axis=0)
-                    yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
+                    # Parts that hang together need no link, and others one to the smallest that they hang on.
+                    parts, at = np.unique(np.concatenate([root[i:j][a], root[i:j][b]]), return_inverse=True)
+                    mark = smallest(len(parts), at[: len(a)], at[len(a) :])
+                    found = np.flatnonzero(mark != np.arange(len(parts)))
+                    yield pa.RecordBatch.from_arrays([pa.array(parts[found]), pa.array(parts[mark[found]])], ["a", "b"])
 
     return near.select("a", "b").union(rows.mapInArrow(run, "a long, b long"))
 

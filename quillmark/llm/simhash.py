@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from quillmark.llm.common import salted_lookup, small_batches, written
 from quillmark.llm.components import components
+from quillmark.llm.components import smallest as _smallest
 
 SEED = 42
 #: (first bit, bits) of the segments of a lane.
@@ -104,22 +105,6 @@ def _distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count((x ^ y).view(np.uint64)).sum(-1, dtype=np.int32)
 
 
-def _smallest(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """The smallest member of each member's component."""
-    mark = np.arange(n)
-    while True:
-        low = np.minimum(mark[u], mark[v])
-        new = mark.copy()
-        np.minimum.at(new, mark[u], low)
-        np.minimum.at(new, mark[v], low)
-        np.minimum.at(new, u, low)
-        np.minimum.at(new, v, low)
-        new = new[new]
-        if (new == mark).all():
-            return mark
-        mark = new
-
-
 def _around_pivot(fps: np.ndarray, homes: np.ndarray, limit: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Links that connect what the links between homes and members connect, in one large key.
 

@@ -5,6 +5,7 @@ import numpy as np
 
 from quillmark.llm import edits as X
 from quillmark.llm import grouped
+from quillmark.llm.common import written
 
 
 def test_walk_continues_where_it_was_cut():
@@ -127,3 +128,20 @@ def test_null_and_repeated_ids_ties_and_long_texts(spark):
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, X.with_edits(df).collect()), key=str)
     same = [r.fingerprint for r in got if r.n_chars == 5]
     assert len(same) == 2 and len(set(same)) == 1
+
+
+def test_blocks_give_fewer_links_than_members(spark):
+    """A head unlike all others, which are near to each other in two families: no links in squares."""
+    n = 120
+    nodes = written(spark.range(n).selectExpr("id as node", "array(7L) as keys"), "test-nodes")
+
+    def compare(payload, asks, there):
+        ids = payload[0].to_numpy()
+        hits = [there[(ids[there] > 0) & (ids[there] % 2 == ids[i] % 2) & (ids[i] > 0)] for i in asks]
+        return np.repeat(asks, [len(x) for x in hits]), np.concatenate(hits)
+
+    got = [(r.a, r.b) for r in grouped.linked(nodes, lambda pairs: pairs.where("false"), lambda rows: rows.withColumn("id", rows["node"]), compare, "test").collect()]
+    assert len(got) < n
+    want = classes_of([(i, j) for i in range(1, n) for j in range(1, i) if (i - j) % 2 == 0], n)
+    found = classes_of(got, n)
+    assert all((found[i] == found[j]) == (want[i] == want[j]) for i in range(n) for j in range(n))
