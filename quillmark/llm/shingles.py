@@ -1,11 +1,14 @@
-"""Near copies by the exact Jaccard similarity of word shingle sets.
+"""Near copies by SimHash and the exact Jaccard similarity of word shingle sets.
 
-Candidates come from MinHash: BANDS values of ROWS hashes of 16 bits each, one band a long. Sets
-that share a band and agree in ESTIMATE of all hashes are compared as a whole, and only exact
-pairs count. In a band's group only links that connect its members are sought; see grouped.
+Sets get SimHash fingerprints, whose index of segments and their deletion variants connects what may be
+near (simhash.set_links). Inside what it connects, pairs whose whole fingerprints differ in LIMIT bits
+or fewer are compared as whole sets, and only exact pairs count; only links that connect are
+sought, see grouped.
 
-A pair at a similarity of 0.8 shares no band with a probability of 5e-8, and agrees in too few
-hashes with 2e-6; both fall as the similarity grows. Sets are of 64-bit hashes of shingles.
+Few shingles make coarse bits, so sets of TINY or fewer also meet under deletion variants of their own, the
+set without one of its shingles: among them no pair at 0.8 is lost. Of larger ones a pair at 0.8 has an equal
+key in none of the segments with a probability of about 2e-4, less above: see the README. Sets are of
+64-bit hashes of shingles.
 """
 
 from __future__ import annotations
@@ -22,13 +25,11 @@ from pyspark.sql import functions as F
 from quillmark.llm.common import hot_keys, hot_lookup, small_batches, written
 from quillmark.llm.components import components
 from quillmark.llm.grouped import linked
-from quillmark.llm.simhash import SEED, shingle_hashes
+from quillmark.llm.simhash import LANES, set_fingerprint, set_links, shingle_hashes
 
-BANDS, ROWS = 32, 4
-#: Hashes of BANDS * ROWS that a pair must agree in: five deviations below a similarity of 0.8.
-ESTIMATE = 80
-
-_odd = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * ROWS), dtype=np.uint64) | np.uint64(1)
+#: Bits of a fingerprint that a pair may differ in: eight deviations above sets of 4 and 5 shingles, the worst at 0.8.
+LIMIT = 20 * LANES
+TINY = 9
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:
@@ -37,33 +38,35 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(np.concatenate(found)) if found else np.zeros(0, dtype=np.uint64)
 
 
-def minhashes(found: np.ndarray) -> np.ndarray:
-    """BANDS longs, ROWS hashes in each; zeros for an empty set."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(found), 1024):
-        np.minimum(least, ((found[at : at + 1024, None] ^ _odd[0]) * _odd[1]).min(0), out=least)
-    short = ((least * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype("<u2")
-    return short.view("<i8") if len(found) else np.zeros(BANDS, dtype=np.int64)
+def tiny_keys(found: np.ndarray) -> np.ndarray:
+    """Marks of a tiny set and of the sets without one of its shingles."""
+    if not 0 < len(found) <= TINY:
+        return np.zeros(0, dtype=np.int64)
+    return np.append(found.sum(), found.sum() - found).view(np.int64)
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """docs: (doc_id, text). Returns (doc_id, text_hash, s0, s1, size, bands), a row per row; s0 and s1 tell sets apart."""
+    """docs: (doc_id, text). Returns (doc_id, text_hash, s0, s1, size, lanes, tiny), a row per row; s0 and s1 tell sets apart."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingle_set(t.as_py(), words) for t in b.column(1)]
             ids = np.array([[*np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), "<i8")] for s in sets], dtype=np.int64).reshape(-1, 2)
-            bands = pa.array([minhashes(s) for s in sets], pa.list_(pa.int64()))
-            cols = [b.column(0), b.column(2), pa.array(ids[:, 0]), pa.array(ids[:, 1]), pa.array([len(s) for s in sets], pa.int64()), bands]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "text_hash", "s0", "s1", "size", "bands"])
+            more = [pa.array([f(s) for s in sets], pa.list_(pa.int64())) for f in (set_fingerprint, tiny_keys)]
+            cols = [b.column(0), b.column(2), pa.array(ids[:, 0]), pa.array(ids[:, 1]), pa.array([len(s) for s in sets], pa.int64()), *more]
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "text_hash", "s0", "s1", "size", "lanes", "tiny"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("text_hash"))
-    return rows.mapInArrow(run, "doc_id long, text_hash long, s0 long, s1 long, size long, bands array<long>")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, s0 long, s1 long, size long, lanes array<long>, tiny array<long>")
+
+
+def _lanes(found: pa.Array) -> np.ndarray:
+    return found.flatten().to_numpy().reshape(len(found), LANES).view(np.uint64)
 
 
-def _hashes(bands: pa.Array) -> np.ndarray:
-    return bands.flatten().to_numpy().reshape(len(bands), BANDS).view("<u2")
+def _hopeful(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x ^ y).sum(-1, dtype=np.int32) <= LIMIT
 
 
 def _sets(found: pa.Array) -> list[np.ndarray]:
@@ -82,9 +85,12 @@ def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 
 def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """classes: (node, size, bands, first), distinct sets, written. Returns (a, b): nodes linked so that
-    the candidate pairs whose similarity is `percent` or more are connected."""
-    nodes = written(classes.where("size > 0").select("node", F.transform("bands", lambda v, i: F.xxhash64(i, v)).alias("keys")), "shingle-nodes")
+    """classes: (node, size, lanes, tiny, first), distinct sets, written. Returns (a, b): nodes linked so
+    that the candidate pairs whose similarity is `percent` or more are connected."""
+    words_in = classes.where("size > 0")
+    met = components(set_links(words_in))
+    keys = F.concat(F.when(F.col("root").isNull(), F.array().cast("array<long>")).otherwise(F.array(F.xxhash64(F.lit(0), "root"))), F.transform("tiny", lambda v: F.xxhash64(F.lit(1), v)))
+    nodes = written(words_in.join(met, "node", "left").select("node", keys.alias("keys")).where("size(keys) > 0"), "shingle-nodes")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("_t", F.xxhash64("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,8 +114,7 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Data
     def estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                near = (_hashes(b.column(2)) == _hashes(b.column(3))).sum(1) >= ESTIMATE
-                yield b.select([0, 1]).filter(pa.array(near))
+                yield b.select([0, 1]).filter(pa.array(_hopeful(_lanes(b.column(2)), _lanes(b.column(3)))))
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -118,21 +123,21 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Data
                 yield b.select([0, 1]).filter(pa.array(near, pa.bool_()))
 
     def check(pairs: DataFrame) -> DataFrame:
-        hopeful = written(with_both(pairs, classes, "bands").mapInArrow(estimated, "a long, b long"), "shingle-hopeful")
+        hopeful = written(with_both(pairs, classes, "lanes").mapInArrow(estimated, "a long, b long"), "shingle-hopeful")
         nodes = hopeful.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         return with_both(hopeful, sets_of(nodes), "found").mapInArrow(verified, "a long, b long")
 
     def load(rows: DataFrame) -> DataFrame:
-        sets = sets_of(rows.select("node").distinct()).join(classes.select("node", "bands"), "node")
-        return rows.join(sets, "node").select(*rows.columns, "bands", "found")
+        sets = sets_of(rows.select("node").distinct()).join(classes.select("node", "lanes"), "node")
+        return rows.join(sets, "node").select(*rows.columns, "lanes", "found")
 
     def compare(payload: list[pa.Array], asks: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        hashes, sets = _hashes(payload[0]), _sets(payload[1])
+        lanes, sets = _lanes(payload[0]), _sets(payload[1])
         # Which members are known to be connected: they need no second check.
         mark = np.arange(len(sets))
         a, b = [], []
         for i in asks:
-            for j in there[(hashes[there] == hashes[i]).sum(1) >= ESTIMATE]:
+            for j in there[_hopeful(lanes[there], lanes[i])]:
                 if mark[i] != mark[j] and similar(sets[i], sets[j], percent):
                     mark[mark == mark[j]] = mark[i]
                     a.append(i)
@@ -150,10 +155,10 @@ def with_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     """
     rows = written(sketches(docs, words), "shingle-rows")
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
-    classes = rows.groupBy("s0", "s1").agg(smallest.alias("first"), F.count(F.lit(1)).alias("n"), F.first("size").alias("size"), F.first("bands").alias("bands"))
+    classes = rows.groupBy("s0", "s1").agg(smallest.alias("first"), F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("size", "lanes", "tiny")])
     classes = written(classes.withColumn("node", F.xxhash64("s0", "s1")), "shingle-classes")
     roots = components(links(docs, classes, words, percent))
-    marked = classes.drop("bands").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    marked = classes.drop("lanes", "tiny").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     marked = written(marked, "shingle-marked")
     firsts = marked.groupBy("root").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("classes"))
     firsts = written(firsts.where("classes > 1"), "shingle-firsts")

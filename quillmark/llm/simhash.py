@@ -6,6 +6,10 @@ at most one bit. Each distinct fingerprint is indexed under its segments (its ho
 under every variant of a segment with one set bit wiped out. Segments at most one bit apart
 meet under an equal key: an equality join, whose candidates are verified on whole
 fingerprints. Inside a key only the links that connect its members are kept, never all pairs.
+
+Sets of shingles at a Jaccard similarity of 0.8 differ in 0.15 of their bits, so they get LANES lanes,
+and segments meet under any equal key, also if a bit is wiped out of both (set_links). An exact check
+of the sets follows (see shingles).
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from pyspark.sql import functions as F
 from quillmark.llm.common import salted_lookup, small_batches, written
 from quillmark.llm.components import components
 from quillmark.llm.components import smallest as _smallest
+from quillmark.llm.grouped import key_edges, tables
 
 SEED = 42
 #: (first bit, bits) of the segments of a lane.
@@ -31,6 +36,12 @@ PIECE = 1 << 16
 PAIRS = 1 << 18
 #: A key with more members than this is searched around a pivot.
 LARGE = 256
+#: Lanes of a set's fingerprint.
+LANES = 10
+#: Bits of two lanes that a pair of sets may differ in: three and a half deviations above a similarity of 0.8.
+TWO_LANES = 30
+#: Fingerprints that meet in one step, about.
+MET = 1 << 15
 
 
 def shingle_hashes(text: str | None, words: int) -> Iterator[np.ndarray]:
@@ -70,6 +81,18 @@ def fingerprint(text: str | None, words: int = 4, lanes: int = 1) -> list[int]:
     return np.packbits(2 * counts > n, axis=1, bitorder="little").view("<i8")[:, 0].tolist()
 
 
+def set_fingerprint(found: np.ndarray, lanes: int = LANES) -> np.ndarray:
+    """Signed 64-bit lanes of a set of hashes. Half of the hashes set a bit at odd places only: sets of
+    even and of odd sizes would differ in one direction otherwise."""
+    counts = np.zeros(lanes * 64, dtype=np.int64)
+    # Counts of a piece fit one byte.
+    for at in range(0, len(found), 255):
+        h = found[at : at + 255]
+        mixed = np.stack([_mixed(h, lane) for lane in range(lanes)], axis=1).astype("<u8")
+        counts += np.unpackbits(mixed.view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.uint8)
+    return np.packbits(2 * counts + np.arange(lanes * 64) % 2 > len(found), bitorder="little").view("<i8")
+
+
 def lane_names(lanes: int) -> list[str]:
     return [f"fp{i}" for i in range(lanes)]
 
@@ -190,6 +213,66 @@ def links(classes: DataFrame, lanes: int = 1, limit: int = 4) -> DataFrame:
     return found.select(*[node([f"{p}{i}" for i in range(lanes)]).alias(p) for p in "ab"])
 
 
+def set_links(sets: DataFrame, lanes: int = LANES, limit: int = TWO_LANES) -> DataFrame:
+    """sets: (node, lanes), distinct nodes, written; lanes is an array of longs. Returns (a, b): nodes
+    whose edges connect those that have an equal key in a segment and differ in `limit` or fewer bits
+    of its lane and the next one.
+
+    Keys are segments and segments with one set bit wiped out. Rows are dealt by the first bits of a
+    key, so many that about MET of a segment's rows meet; keys whose other bits are wiped out are made
+    where they meet. In the end a few bits of each key are dealt, not each key.
+    """
+    low = max(8, min(b for _, b in SEGMENTS) - max(0, (sets.count() // MET).bit_length()))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps = b.column(1).flatten().to_numpy().reshape(b.num_rows, lanes)
+            entries, rows, lane_of = [], [], []
+            for lane in range(lanes):
+                for s, (shift, bits) in enumerate(SEGMENTS):
+                    home = ((lane * len(SEGMENTS) + s) << 22) + (fps[:, lane] >> shift & ((1 << bits) - 1))
+                    for bit in [None, *range(low, bits)]:
+                        at = np.arange(len(home)) if bit is None else np.flatnonzero(home >> bit & 1)
+                        entries.append(home * 2 + 1 if bit is None else (home[at] & ~(1 << bit)) * 2)
+                        rows.append(at)
+                        lane_of.append(np.full(len(at), lane))
+            row, lane = np.concatenate(rows), np.concatenate(lane_of)
+            cols = [np.concatenate(entries), fps[row, lane], fps[row, (lane + 1) % lanes], b.column(0).to_numpy()[row]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["entry", "own", "following", "node"])
+
+    def meet(entry: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of one part, and the rows that they are linked to."""
+        homes = np.flatnonzero(entry & 1)
+        keys, rows = [entry >> 1], [np.arange(len(entry))]
+        for bit in range(low):
+            at = homes[entry[homes] >> (bit + 1) & 1 == 1]
+            keys.append(entry[at] >> 1 & ~(1 << bit))
+            rows.append(at)
+        key, row = np.concatenate(keys), np.concatenate(rows)
+        order = np.argsort(key, kind="stable")
+        key, row = key[order], row[order]
+        same = key[1:] == key[:-1]
+        several = np.append(same, False) | np.append(False, same)
+        key, row = key[several], row[several]
+        a, b = _linked(key * 2 + 1, fps[row], limit)
+        mark = _smallest(len(entry), row[a], row[b])
+        found = np.flatnonzero(mark != np.arange(len(mark)))
+        return found, mark[found]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in tables(batches, 1):
+            entry, own, following, names = (c.to_numpy() for c in t.columns[1:])
+            edges = key_edges(t, 1)
+            for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                a, b = meet(entry[i:j], np.stack([own[i:j], following[i:j]], axis=1))
+                yield pa.RecordBatch.from_arrays([pa.array(names[i:j][a]), pa.array(names[i:j][b])], ["a", "b"])
+
+    part = F.shiftright("entry", low + 1)
+    dealt = sets.select("node", "lanes").mapInArrow(deal, "entry long, own long, following long, node long")
+    rows = dealt.repartition(part).select(part.alias("part"), "entry", "own", "following", "node").sortWithinPartitions("part")
+    return rows.mapInArrow(run, "a long, b long").where("a <> b")
+
+
 def node(names: list[str]) -> Column:
     """A number for a fingerprint: itself, or a hash of its lanes."""
     return F.col(names[0]) if len(names) == 1 else F.xxhash64(*names)
@@ -233,8 +316,8 @@ def hex_digits(name: str) -> Column:
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs, all columns, one for each group: that with the smallest doc_id.
 
-    Fingerprints are too coarse at this similarity: groups are what pairs connect whose shingle
-    sets have a Jaccard similarity of `percent` or more. See shingles. Texts without words (null,
+    Candidates are what the fingerprints' index connects; an exact check follows: groups are what pairs
+    connect whose shingle sets have a Jaccard similarity of `percent` or more. See shingles. Texts without words (null,
     empty) are one group. Null ids are larger than all others; of rows that share the smallest id
     of a group one stays, by the hashes of texts and then of whole rows. Of rows that are alike in
     all columns one stays. An empty table gives an empty result; no name of a column is reserved.

@@ -1,7 +1,10 @@
 import random
 
+import numpy as np
+
 import corpus_pipeline
-from quillmark.llm import grouped, simhash
+from quillmark.llm import grouped, shingles, simhash
+from quillmark.llm.common import written
 
 
 def brute(docs):
@@ -72,3 +75,53 @@ def test_names_of_columns_nulls_and_repeated_rows(spark):
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == [(1, "a b c d e f"), (4, ""), (None, "lone words that stay")]
     again = [r for r in simhash.one_of_each(df.repartition(5)).collect() if r.doc_id == 1]
     assert again == [r for r in got.collect() if r.doc_id == 1]
+
+
+def test_fingerprints_of_sets():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 7, 255, 256, 1500):
+        found = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        got = [int(x) & (1 << 64) - 1 for x in simhash.set_fingerprint(found, 3)]
+        for lane in range(3):
+            bits = [[int(h) >> b & 1 for b in range(64)] for h in simhash._mixed(found, lane)]
+            assert got[lane] == sum(1 << b for b in range(64) if 2 * sum(x[b] for x in bits) + b % 2 > n)
+
+
+def test_index_connects_sets_at_the_threshold(spark, monkeypatch):
+    """Pairs at a similarity of exactly 0.8, whatever the number of parts that the rows are dealt to."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(400):
+        n = (8, 40, 320)[i % 3]
+        common, own = (rng.integers(0, 1 << 63, k, dtype=np.uint64) for k in (n, n // 4))
+        for side, s in enumerate((np.append(common, own[: n // 8]), np.append(common, own[n // 8 :]))):
+            rows.append((2 * i + side, simhash.set_fingerprint(s).tolist()))
+    sets = written(spark.createDataFrame(rows, "node long, lanes array<long>"), "test-sets")
+    found = []
+    for met in (1 << 15, 16):
+        monkeypatch.setattr(simhash, "MET", met)
+        found.append({(min(r.a, r.b), max(r.a, r.b)) for r in simhash.set_links(sets).collect()})
+    assert found[0] == found[1]
+    assert all(a // 2 == b // 2 for a, b in found[0]) and len(found[0]) >= 0.99 * 400
+    assert simhash.set_links(sets.limit(0)).count() == 0
+
+
+def test_stage_takes_its_candidates_from_fingerprints(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    docs = [(1, " ".join(base)), (2, " ".join(edited(rng, base, 2))), (3, " ".join(base).upper())]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert [r.doc_id for r in simhash.one_of_each(df).collect()] == [1]
+    monkeypatch.setattr(shingles, "set_links", lambda sets: spark.createDataFrame([], "a long, b long"))
+    assert sorted(r.doc_id for r in simhash.one_of_each(df).collect()) == [1, 2]
+
+
+def test_tiny_texts_are_exact(spark):
+    """Whatever the fingerprints of few shingles say."""
+    rng = random.Random(10)
+    docs = []
+    for i in range(150):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(6, 13))]
+        docs += [(3 * i, " ".join(base)), (3 * i + 1, " ".join(base[:-1])), (3 * i + 2, " ".join(["new", *base[1:]]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.one_of_each(df).collect()) == brute(docs)
