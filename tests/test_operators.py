@@ -89,6 +89,37 @@ def test_spans_beyond_the_limit_make_no_rows(spark):
     assert {r.file for r in grid.over_limit(cells).collect()} == {"a", "b"}
 
 
+def test_only_files_whose_limit_is_in_doubt_are_counted_out(spark):
+    rng = np.random.default_rng(5)
+    made = [(f, k, int(r), int(c), int(h), int(w)) for f in range(60) for k, (r, c, h, w) in enumerate(zip(*rng.integers(0, 300, (2, 8)), *rng.integers(1, 250, (2, 8)), strict=True))]
+    # Sharing all positions, or in many cells; a null span is passed over.
+    made += [(100, k, 0, 0, 300, 300) for k in range(3)] + [(101, k, k, 0, 1, 1000) for k in range(102)]
+    made += [(102, 0, 0, 0, 400, 200), (102, 1, None, None, None, None), (102, 2, 10, 10, 100, 150), (102, 3, 0, 0, 400, 201)]
+
+    def first_full(own):
+        taken = set()
+        for _, k, r, c, h, w in own:
+            if h is None:
+                continue
+            if len(taken) + h * w > grid.GRID_LIMIT:
+                return k
+            taken |= {(y, x) for y in range(r, r + h) for x in range(c, c + w)}
+        return None
+
+    want = {f: k for f in {m[0] for m in made} if (k := first_full([m for m in made if m[0] == f])) is not None}
+    found = grid.over_limit(spark.createDataFrame(made, "file int, cell_seq int, row int, col int, rowspan int, colspan int"))
+    assert {r.file: r.cell_seq for r in found.collect()} == want and {100, 101, 102} <= set(want)
+
+
+def test_files_over_the_limit_take_no_time_each(spark):
+    import time
+
+    made = spark.range(400_000).selectExpr("id div 4 as file", "id % 4 as cell_seq", "cast(id % 4 as int) as row", "0 as col", "cast(pmod(hash(id), 300) + 200 as int) as rowspan", "cast(pmod(hash(id, 1), 300) + 200 as int) as colspan")
+    began = time.monotonic()
+    assert grid.over_limit(made).count() > 90_000
+    assert time.monotonic() - began < 25
+
+
 def test_emphasis_and_pages(spark):
     spans = [(1, 0, 2, "a "), (1, 1, 2, "b"), (1, 2, 0, "c"), (1, 3, 2, " "), (1, 4, 16, "d"), (2, 0, 16, "e"), (2, 1, 18, "f")]
     df = spark.createDataFrame(spans, "line int, span int, flags int, text string")
