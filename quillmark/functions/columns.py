@@ -70,6 +70,11 @@ def doi_printed(doi: Column, flat: Column) -> Column:
     return (doi != "") & F.regexp_like(flat, quoted)
 
 
+def doi_ends(rest: Column) -> Column:
+    """Whether a DOI may end before these two characters, as in doi_printed."""
+    return ~rest.rlike(r"^([0-9a-z/_-]|\.[\p{L}\p{N}])")
+
+
 def content_words(c: Column) -> Column:
     found = F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit("([a-z0-9]+)"), F.lit(1))
     stop = F.array(*[F.lit(w) for w in STOP_WORDS])

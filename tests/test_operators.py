@@ -45,6 +45,38 @@ def test_odd_dois_and_blank_records(spark):
     assert got["a"].best_id == "odd" and got["a"].score == 100 and got["a"].confident
 
 
+def test_index_and_joined_pairs_agree(spark):
+    rng = np.random.default_rng(3)
+    pick = lambda words, n: " ".join(rng.choice(words, n))
+    common, scarce = [f"often{i}" for i in range(4)], [f"rare{i}" for i in range(150)]
+    surnames = ["Marsh", "Reed-Bank", "Bank-Holt", "O'Neil", "Brook-Reed-Marsh"]
+    reg = [(f"r{i}", i, pick(common, 2) + " " + pick(scarce, 3), f"10.{1234 + i % 3}/x{i % 90}" + (".é" if i % 7 == 0 else "") if i % 2 else None, "; ".join(f"{n}, X." for n in rng.choice(surnames, 2)), str(1990 + i % 5)) for i in range(300)]
+    reg += [("same", 300, reg[0][2], reg[1][3], None, None), ("only-doi", 301, None, "10.1234/x1.pub2", None, None)]
+    tails = ["", ".", ". Next", ";10.1235/x2", ".pub2", "/a", "é", ".é", ".-"]
+    docs = [(i, pick(common + surnames, 4) + " " + pick(scarce, int(rng.integers(0, 5))) + f" {1988 + i % 9} 10.10.1234/X{i % 95}{tails[i % len(tails)]}") for i in range(300)]
+    docs += [(300, None), (301, "nothing"), (302, "10.1234/none"), (303, pick(scarce, 100))]
+    registry, texts = spark.createDataFrame(reg, REGISTRY), spark.createDataFrame(docs, "doc_id int, text string")
+    rows = lambda df: sorted(tuple(r) for r in df.select("doc_id", "place", "id", "doi_hit", "title_overlap", "score", "runner_up").collect())
+    for n in (1, 3):
+        assert rows(matching.ranked(texts, registry, n)) == rows(matching._joined(texts, registry).where(F.col("place") <= n))
+
+
+def test_a_shared_registrant_makes_no_pair(spark):
+    got = match(spark, [HERON, OTTER | {"doi": "10.7777/otters"}], [("a", "see 10.7777/others")])
+    assert (got["a"].best_id, got["a"].score) == ("heron", 0.0)
+
+
+def test_what_all_records_share_takes_no_time_each(spark):
+    import time
+
+    reg = spark.range(5_000).selectExpr("concat('r', id) as id", "cast(id as int) as ord", "concat('Common word', id) as title", "concat('10.5555/rec-', id) as doi", "cast(null as string) as authors", "'1999' as year")
+    docs = spark.range(20_000).selectExpr("id as doc_id", "concat('common word', id % 5000, ' 1999 doi 10.5555/rec-', id % 5000, '; 1') as text")
+    began = time.monotonic()
+    got = matching.matched(docs, reg).where("confident and contested and best_id = concat('r', doc_id % 5000) and score = 155 and margin = 125")
+    assert got.count() == 20_000
+    assert time.monotonic() - began < 40
+
+
 @pytest.mark.parametrize("case", range(len(TABLE_CASES)))
 def test_table_cases(case):
     html, rules = TABLE_CASES[case]
