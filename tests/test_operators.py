@@ -77,6 +77,14 @@ def test_what_all_records_share_takes_no_time_each(spark):
     assert time.monotonic() - began < 40
 
 
+def test_texts_meet_an_indexed_registry_without_pairs(spark):
+    reg = spark.createDataFrame([("a", 0, "Heron tides", None, None, None)], REGISTRY)
+    top = matching.top(spark.createDataFrame([(1, "heron"), (2, "")], "doc_id int, text string"), reg)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan and "Sort" not in plan
+    assert sorted(tuple(r) for r in top.collect()) == [(1, 1, "a", 25.0), (2, 1, "a", 0.0)]
+
+
 @pytest.mark.parametrize("case", range(len(TABLE_CASES)))
 def test_table_cases(case):
     html, rules = TABLE_CASES[case]
