@@ -10,8 +10,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from contextlib import ExitStack
+from tempfile import TemporaryFile
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +31,9 @@ MANIFEST = {"schema_version": True, "id": True, "title": True, "exhibits": True,
 EXHIBIT, EXHIBIT_EXTRA = ("label", "caption"), ("notes",)
 SUPPLEMENTS, SUPPLEMENT = ("id", "supplements"), ("name", "title", "exhibits")
 
+#: Rows of a task that are held at once, and the files to which more are dealt.
+HELD_BYTES, BINS = 64 << 20, 64
+
 #: Phases in the order in which problems are listed.
 PHASES = ["root", "case", "manifest", "text", "figures", "tables", "supplements", "binding", "table_binding", "contents", "uniqueness"]
 VIOLATIONS = "bundle_id string, phase string, scope string, ord long, rule string, detail string"
@@ -342,11 +348,57 @@ def judged(entries: list[Entry]) -> list[Violation]:
     return [("contents" if scope and phase != "uniqueness" else phase, scope, *rest) for phase, scope, *rest in out]
 
 
+def together(batches: Iterator[pa.RecordBatch], held_bytes: int = HELD_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows (bin, bundle_id, ...) of a task without bin, in small batches, each bundle's in one run.
+
+    Few rows are sorted as they are. More are dealt by bin to files of the task's own, which are
+    sorted one by one and gone when they are closed, so memory holds a bin and not the task.
+    """
+    held: list[pa.RecordBatch] = []
+    size, schema = 0, None
+
+    def runs(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        yield from table.drop_columns(["bin"]).sort_by("bundle_id").to_batches(max_chunksize=4096)
+
+    with ExitStack() as stack:
+        bins: dict[int, tuple] = {}
+
+        def deal() -> None:
+            table = pa.Table.from_batches(held)
+            table = table.take(pa.array(np.argsort(table["bin"].to_numpy(), kind="stable")))
+            found, first = np.unique(table["bin"].to_numpy(), return_index=True)
+            for k, at, to in zip(found.tolist(), first.tolist(), [*first[1:].tolist(), len(table)], strict=True):
+                if k not in bins:
+                    file = stack.enter_context(TemporaryFile())
+                    bins[k] = file, pa.ipc.new_stream(file, schema, options=pa.ipc.IpcWriteOptions(compression="lz4"))
+                bins[k][1].write_table(table.slice(at, to - at).combine_chunks())
+
+        for b in batches:
+            schema = b.schema
+            held.append(b)
+            size += b.nbytes
+            if size > held_bytes:
+                deal()
+                held, size = [], 0
+        if held and not bins:
+            yield from runs(pa.Table.from_batches(held))
+            return
+        if held:
+            deal()
+            held = []
+        for file, writer in bins.values():
+            writer.close()
+            file.seek(0)
+            yield from runs(pa.ipc.open_stream(file).read_all())
+            file.close()
+
+
 def violations(files: DataFrame) -> DataFrame:
     """VIOLATIONS of all bundles of a files DataFrame (see sources.bundles); sound ones have none.
 
-    Rows are dealt by bundle, and a task holds one bundle at a time. Tables in which a whole bundle
-    is one partition already are still dealt, since a DataFrame does not say so.
+    Rows are dealt by bundle, and a task holds one bundle at a time. They are not sorted by Spark:
+    parts are joined by their compressed size, and listings compress fifty-fold. Tables in which a
+    whole bundle is one partition already are still dealt, since a DataFrame does not say so.
     """
     names = ["bundle_id", "phase", "scope", "ord", "rule", "detail"]
     kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()]
@@ -354,7 +406,7 @@ def violations(files: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         at, own = None, []
-        for b in batches:
+        for b in together(batches):
             for bundle, *rest in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if bundle != at:
                     held += [(at, *v) for v in judged(own)] if own else []
@@ -366,7 +418,8 @@ def violations(files: DataFrame) -> DataFrame:
         held += [(at, *v) for v in judged(own)] if own else []
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in held], k) for i, k in enumerate(kinds)], names)
 
-    rows = files.select("bundle_id", *Entry._fields).repartition("bundle_id").sortWithinPartitions("bundle_id")
+    bin_ = F.pmod(F.xxhash64("bundle_id"), F.lit(BINS)).cast("int").alias("bin")
+    rows = files.select("bundle_id", *Entry._fields).repartition("bundle_id").select(bin_, "bundle_id", *Entry._fields)
     return rows.mapInArrow(run, VIOLATIONS)
 
 

@@ -135,3 +135,24 @@ def test_strict_json():
     assert parsed("1" * 5000)[1] == "number"
     value, fault = parsed('{"a": {"b": 1, "b": 2}, "a": [{"c": 1, "c": 2}], "d": 0}')
     assert fault is None and repeated_keys(value) == [("", "a"), ("a[0]", "c"), ("replaced", "b")]
+
+
+def test_rows_of_a_bundle_come_together_in_any_memory():
+    import numpy as np
+    import pyarrow as pa
+
+    of = np.random.default_rng(1).integers(0, 300, 20_000)
+    rows = pa.table({"bin": pa.array(of % 64, pa.int32()), "bundle_id": [None if b == 7 else f"b{b}" for b in of], "n": range(20_000), "content": ["x" * 20] * 20_000})
+    for held in (1, 100_000, 1 << 30):
+        got = pa.Table.from_batches(B.together(iter(rows.to_batches(1000)), held))
+        ids = got["bundle_id"].to_pylist()
+        assert sum(a != b for a, b in zip(ids, ids[1:], strict=False)) == len(set(ids)) - 1
+        assert sorted(got["n"].to_pylist()) == list(range(20_000)) and got.column_names == ["bundle_id", "n", "content"]
+        assert all(ids[i] == (None if of[n] == 7 else f"b{of[n]}") for i, n in enumerate(got["n"].to_pylist()))
+    assert list(B.together(iter([]))) == []
+
+
+def test_bundles_are_not_sorted_by_spark(spark):
+    rows = spark.createDataFrame([("a", "", "", "", "dir", False, 0, None, None, None)], "bundle_id string, scope string, dir string, name string, kind string, hidden boolean, size long, head binary, content string, read_error string")
+    plan = B.violations(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan
